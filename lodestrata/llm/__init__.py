@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("sharding", "exact_dedup", "quality_rules")
+MODULES = ("simhash", "packing", "sharding", "exact_dedup", "sentencepiece_bpe", "quality_rules", "pii")
 
 
 def queries() -> dict:
