@@ -1,12 +1,49 @@
-"""A pipeline of corpus operators: rules, line dedup, near-dedup, personal data, packing."""
+"""A pipeline of corpus operators over the documents: quality rules, line dedup, near-dedup, personal data, packing.
+
+Each stage is a function of (spark, docs, sf_dir); its result is written as Parquet and read again as the next stage's docs. All
+but the last return the columns of the documents. The operators state what they do with nulls, empty texts and repeated rows.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-STAGES: list = []
-ORACLE_SQL = None
+from lodestrata.llm import common, line_templates, packing, pii, quality_rules, simhash
+
+
+def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that pass the quality rules."""
+    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, without the lines whose template recurs (the first document keeps them)."""
+    return line_templates.dedup(docs)
+
+
+def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near copies: five-word shingles, at most 4 of 64 bits apart."""
+    return simhash.dedup(docs, words=5, threshold=4, reach=2)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    return pii.redact(docs)
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The pieces of all documents and their places in sequences of 1024 ids."""
+    return packing.pack(docs)
+
+
+STAGES = [("quality rules", rules), ("line dedup", lines), ("near-dedup", near_copies), ("personal data", personal_data), ("packing", packed)]
+ORACLE_SQL = None  # packing and near-dedup can't be said in SQL; tests hold them against brute force
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    raise NotImplementedError
+    docs = common.read_documents(spark, sf_dir)
+    for i, (_, stage) in enumerate(STAGES):
+        docs = stage(spark, docs, sf_dir)
+        if i < len(STAGES) - 1:
+            docs = common.stage(docs, f"pipeline{i}")
+    return docs

@@ -7,6 +7,10 @@ within the threshold therefore meet at the home of either, so no link is lost; w
 anchor gives only the edges of a spanning forest (member, smallest member of its local component), never its pairs, and the
 components over all anchors come from star contraction. Copies share a fingerprint and are folded before the replication.
 
+A shorter reach is exact as well: some word lies halfway between two linked fingerprints, and both are within half the threshold,
+rounded up, of its nearest anchor's ball. With reach = radius + half the threshold all that meets at an anchor is compared, home or not;
+so a reach of 2 serves a threshold of 4. The default reach is the whole threshold.
+
 With two blocks there are 2^24 anchors, and a fingerprint has about 77 replicas: the work grows in proportion to the number of
 different fingerprints up to some tens of millions; one block has 2^12 anchors and about 22 replicas.
 
@@ -95,13 +99,13 @@ def _ragged(counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return rows, np.arange(len(rows)) - np.repeat(np.cumsum(counts) - counts, counts)
 
 
-def replicas(fp: np.ndarray, blocks: int, threshold: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(row, anchor, home) of every anchor within the covering radius plus threshold of each fingerprint (uint64)."""
+def replicas(fp: np.ndarray, blocks: int, reach: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, anchor, home) of every anchor within the covering radius plus reach of each fingerprint (uint64)."""
     message, error, order, distance, upto = _golay()
     part = [(fp >> np.uint64(_BITS * b) & np.uint64((1 << _BITS) - 1)).astype(np.int64) for b in range(blocks)]
     least = [distance[error[p], 0].astype(np.int64) for p in part]
     rows, anchor = np.arange(len(fp)), np.zeros(len(fp), np.int64)
-    left = np.full(len(fp), _RADIUS * blocks + threshold, np.int64)
+    left = np.full(len(fp), _RADIUS * blocks + reach, np.int64)
     home = np.ones(len(fp), bool)
     for b in range(blocks):
         later = sum(least[b + 1 :], np.zeros(len(fp), np.int64))
@@ -153,11 +157,11 @@ def local_roots(fp: np.ndarray, threshold: int) -> np.ndarray:
     return root
 
 
-def _links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+def _links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray | None, threshold: int) -> tuple[np.ndarray, np.ndarray]:
     """Edges (a, b) among rows ordered by anchor, of anchors that are complete in these arrays."""
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     size = np.diff(np.r_[first, len(anchor)])
-    busy = (size > 1) & np.logical_or.reduceat(home, first)
+    busy = size > 1 if home is None else (size > 1) & np.logical_or.reduceat(home, first)
     a, b = [], []
     small = busy & (size <= 32)
     keep = np.repeat(small, size)
@@ -176,8 +180,11 @@ def _links(anchor: np.ndarray, fp: np.ndarray, home: np.ndarray, threshold: int)
     return np.concatenate([none, *a]), np.concatenate([none, *b])
 
 
-def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2) -> DataFrame:
+def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
     """Edges (a, b) between different fingerprints that connect exactly what the threshold links. distinct: column fp, no repeats."""
+    reach = threshold if reach is None else reach
+    if 2 * reach < threshold:
+        raise ValueError("a reach under half the threshold loses links")
     step = 4096 if blocks == 2 else 16384
 
     def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -185,7 +192,7 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2) -> D
             fp = batch.column("fp").to_numpy(zero_copy_only=False).astype(np.int64).view(np.uint64)
             for i in range(0, len(fp), step):
                 part = fp[i : i + step]
-                rows, anchor, home = replicas(part, blocks, threshold)
+                rows, anchor, home = replicas(part, blocks, reach)
                 yield pa.RecordBatch.from_arrays([pa.array(anchor.astype(np.int32)), pa.array(part[rows].view(np.int64)), pa.array(home)], names=["anchor", "fp", "home"])
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -203,26 +210,26 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2) -> D
             yield out(*kept)
 
     def out(anchor, fp, home) -> pa.RecordBatch:
-        a, b = _links(anchor, fp, home, threshold)
+        a, b = _links(anchor, fp, home if reach >= threshold else None, threshold)
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
     spreaded = distinct.select("fp").mapInArrow(spread, "anchor int, fp long, home boolean")
     return spreaded.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(meet, "a long, b long")
 
 
-def components(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2) -> DataFrame:
+def components(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
     """doc_id, fp and component_id (smallest doc_id reachable over links) of every document."""
     fps = common.stage(fingerprints(docs, words), "fingerprints")
     distinct = common.stage(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = common.connected_components(links(distinct, threshold, blocks)).select(F.col("node").alias("fp"), "root")
+    roots = common.connected_components(common.stage(links(distinct, threshold, blocks, reach), "links")).select(F.col("node").alias("fp"), "root")
     known = distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = known.groupBy("root").agg(F.min("low").alias("component_id"))
     return fps.join(known.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp")
 
 
-def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2) -> DataFrame:
+def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
     """The documents, all columns, of which one of each component stays: the one with the smallest doc_id (of repeated rows, one)."""
-    ids = components(docs, words, threshold, blocks)
+    ids = components(docs, words, threshold, blocks, reach)
     stay = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
     once = F.row_number().over(W.Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text"))
