@@ -156,7 +156,7 @@ def pack(docs: DataFrame, vocabulary: str | None = None, capacity: int = CAPACIT
     spots = spark.range(1).select(F.explode(F.split(F.lit(table), ",")).alias("p")).where("p <> ''")
     spots = spots.select(*(F.split("p", ":")[i].cast("bigint").alias(c) for i, c in enumerate(("length", "low", "high", "copies", "sequence", "at"))))
     rank = F.row_number().over(W.Window.partitionBy("length", "bucket").orderBy("doc_id", "start", "ids_crc32")) - 1
-    ranked = rows.withColumn("rank", rank).join(F.broadcast(firsts), ["length", "bucket"]).withColumn("rank", F.col("rank") + F.col("before")).alias("r")
+    ranked = rows.withColumn("rank", rank).join(firsts, ["length", "bucket"]).withColumn("rank", F.col("rank") + F.col("before")).alias("r")
     found = ranked.join(F.broadcast(spots).alias("s"), (F.col("r.length") == F.col("s.length")) & (F.col("rank") >= F.col("low")) & (F.col("rank") < F.col("high")))
     step = F.col("rank") - F.col("low")
     return found.select(
