@@ -13,7 +13,7 @@ from lodestrata.llm import common, line_templates, packing, pii, quality_rules,
 
 def rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that pass the quality rules."""
-    return quality_rules.judge(docs).where("kept").select(*docs.columns)
+    return quality_rules.select(docs)
 
 
 def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
