@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from importlib import import_module
 
-MODULES = ("simhash", "packing", "sharding", "exact_dedup", "sentencepiece_bpe", "quality_rules", "pii", "neighbours", "line_templates")
+MODULES = ("suffix_dedup", "simhash", "packing", "sharding", "exact_dedup", "sentencepiece_bpe", "quality_rules", "pii", "neighbours", "line_templates")
 
 
 def queries() -> dict:
