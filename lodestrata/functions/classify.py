@@ -18,14 +18,13 @@ def _by_words(c: Column, order) -> Column:
 
 def property_type(values: list[Column]) -> Column:
     """The first canonical name in the text, else the first kind, in priority order, with one of its words there."""
-    c = F.translate(F.lower(_joined(values)), "_-", "  ")
-    named = F.get(F.filter(F.split(c, "[^a-z]+"), lambda w: w.isin(*P.CANONICAL_TYPES)), F.lit(0))
-    return F.coalesce(named, _by_words(c, P.TYPE_WORDS))
+    named = lambda c: F.get(F.filter(F.split(c, "[^a-z]+"), lambda w: w.isin(*P.CANONICAL_TYPES)), F.lit(0))
+    return text.once(F.translate(F.lower(_joined(values)), "_-", "  "), lambda c: F.coalesce(named(c), _by_words(c, P.TYPE_WORDS)))
 
 
 def page_property_type(values: list[Column]) -> Column:
     """The kind as pages are read: words only, apartments first."""
-    return _by_words(F.translate(F.lower(F.concat_ws(" ", *values)), "_-", "  "), P.PAGE_TYPE_ORDER)
+    return text.once(F.translate(F.lower(F.concat_ws(" ", *values)), "_-", "  "), lambda c: _by_words(c, P.PAGE_TYPE_ORDER))
 
 
 def listing_type(label: Column, combined: Column, price: Column, strict_label: bool = False) -> Column:
@@ -33,15 +32,17 @@ def listing_type(label: Column, combined: Column, price: Column, strict_label: b
 
     The label is joined with the text before it is compared, so beside any text it has no effect; strict_label compares it alone.
     """
-    whole = F.concat_ws(" ", F.nullif(label, F.lit("")), F.nullif(combined, F.lit("")))
-    exact = text.key(label if strict_label else whole)
-    return F.when(exact.isin("sale", "rent"), exact).when(whole.rlike(P.SALE), "sale").when(whole.rlike(P.RENT), "rent").when(price < P.SALE_PRICE[0], "rent").otherwise("sale")
+    def read(whole: Column) -> Column:
+        exact = text.key(label if strict_label else whole)
+        return F.when(exact.isin("sale", "rent"), exact).when(whole.rlike(P.SALE), "sale").when(whole.rlike(P.RENT), "rent").when(price < P.SALE_PRICE[0], "rent").otherwise("sale")
+
+    return text.once(F.concat_ws(" ", label, combined), read)
 
 
 def page_listing_type(values: list[Column]) -> Column:
     """sale or rent as pages are read: rent words first, then sale words, then the address; else null."""
-    c = F.concat_ws(" ", *values)
-    return F.when(c.rlike(P.PAGE_RENT), "rent").when(c.rlike(P.PAGE_SALE), "sale").when(c.rlike(P.PAGE_RENT_PATH), "rent").when(c.rlike(P.PAGE_SALE_PATH), "sale")
+    read = lambda c: F.when(c.rlike(P.PAGE_RENT), "rent").when(c.rlike(P.PAGE_SALE), "sale").when(c.rlike(P.PAGE_RENT_PATH), "rent").when(c.rlike(P.PAGE_SALE_PATH), "sale")
+    return text.once(F.concat_ws(" ", *values), read)
 
 
 def age_bucket(age: Column) -> Column:

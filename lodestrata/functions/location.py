@@ -17,27 +17,25 @@ def title_case(c: Column) -> Column:
 
 def city(c: Column) -> Column:
     """The city before a comma, bar or hyphen: its label if it is known under any spelling, else in title case."""
-    head = F.trim(F.regexp_extract(c, r"^([^,|-]*)", 1))
     alias = F.create_map(*[F.lit(x) for pair in P.CITY_ALIASES.items() for x in pair])
-    return F.when(c.isNotNull() & (c != ""), F.coalesce(F.try_element_at(alias, text.key(head)), F.nullif(title_case(head), F.lit(""))))
+    return text.once(F.trim(F.regexp_extract(c, r"^([^,|-]*)", 1)), lambda head: F.when(head != "", F.coalesce(F.try_element_at(alias, text.key(head)), title_case(head))))
 
 
 def district(c: Column) -> Column:
     """A district without noise phrases; null for noise, an address or more than 80 characters."""
     out = F.regexp_replace(c, P.words("Toute la ville|Autre secteur"), "")
     out = F.regexp_replace(F.regexp_replace(out, P.words("Premium|Star"), ""), "[0-9]+/[0-9]+", "")
-    out = text.stripped(out)
-    return F.when((out != "") & (F.length(out) <= 80) & ~out.rlike(P.PLACE_NOISE) & ~out.rlike(P.ADDRESS), title_case(out))
+    return text.once(text.stripped(out), lambda x: F.when((x != "") & (F.length(x) <= 80) & ~x.rlike(P.PLACE_NOISE) & ~x.rlike(P.ADDRESS), title_case(x)))
 
 
 def from_text(c: Column) -> Column:
     """struct(city, district) from a phrase such as 'appartements dans <city>, <district>'."""
-    return F.struct(city(text.found(c, P.PLACE, 1)).alias("city"), district(text.found(c, P.PLACE, 2)).alias("district"))
+    return text.once(c, lambda x: F.struct(city(text.found(x, P.PLACE, 1)).alias("city"), district(text.found(x, P.PLACE, 2)).alias("district")))
 
 
 def no_address(c: Column) -> Column:
     """A sanitized place, null if it looks like a street address (the wide list)."""
-    return F.when(~c.rlike(P.WIDE_ADDRESS), c)
+    return text.once(c, lambda x: F.when(~x.rlike(P.WIDE_ADDRESS), x))
 
 
 def candidate(c: Column) -> Column:
@@ -45,14 +43,17 @@ def candidate(c: Column) -> Column:
     def piece(x: Column) -> Column:
         out = F.regexp_replace(F.regexp_replace(x, P.words("Toute la ville|Autre secteur"), ""), P.words("Premium|Star"), "")
         out = text.stripped(F.regexp_replace(out, "[0-9]+/[0-9]+", ""))
-        return F.when((out != "") & (F.length(out) <= 70) & ~out.rlike(P.PAGE_PLACE_NOISE), out)
+        return text.once(out, lambda x: F.when((x != "") & (F.length(x) <= 70) & ~x.rlike(P.PAGE_PLACE_NOISE), x))
 
     pieces = F.filter(F.transform(F.split(F.replace(F.replace(c, F.lit("|"), F.lit(",")), F.lit(" - "), F.lit(",")), ","), lambda x: piece(F.trim(x))), lambda x: x.isNotNull())
     phrase = c.rlike(P.PLACE)
-    first = F.get(pieces, 0)
-    ok = F.length(first) <= 60
-    second = F.get(pieces, 1)
-    return F.struct(
-        F.when(phrase, piece(text.found(c, P.PLACE, 1))).when(ok, first).alias("city"),
-        F.when(phrase, piece(text.found(c, P.PLACE, 2))).when(ok & (F.length(second) <= 60), second).alias("district"),
-    )
+
+    def pick(found: Column) -> Column:
+        first, second = F.get(found, F.lit(0)), F.get(found, F.lit(1))
+        ok = F.length(first) <= 60
+        return F.struct(
+            F.when(phrase, piece(text.found(c, P.PLACE, 1))).when(ok, first).alias("city"),
+            F.when(phrase, piece(text.found(c, P.PLACE, 2))).when(ok & (F.length(second) <= 60), second).alias("district"),
+        )
+
+    return text.once(pieces, pick)

@@ -6,15 +6,11 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from . import patterns as P
+from .text import filled, once
 
 _PRICE = rf"{P.I}(?:{P.MILLION}|{P.MONEY})"
 
 
-def once(value: Column, body) -> Column:
-    """body(value) with value computed once."""
-    return F.get(F.transform(F.array(value), body), F.lit(0))
-
-
 def token(c: Column, multiplier: Column | None = None) -> Column:
     """A number token as decimal(20,2), half up: of both , and . the last is the decimal sign, a lone comma only before one or two digits; grouped thousands collapse; the sign is dropped."""
 
@@ -69,7 +65,7 @@ def _in(x: Column, bounds: tuple) -> Column:
 
 def any_decimal(c: Column) -> Column:
     """The first price that is not monthly, else the first price, else the first number."""
-    return once(prices(c), lambda p: F.coalesce(F.get(_preferred(p), F.lit(0))["amount"], token(F.nullif(F.regexp_extract(c, f"({P.BARE_NUMBER})", 1), F.lit("")))))
+    return once(prices(c), lambda p: F.coalesce(F.get(_preferred(p), F.lit(0))["amount"], token(filled(F.regexp_extract(c, f"({P.BARE_NUMBER})", 1)))))
 
 
 def price(values: list[Column], listing_type: Column) -> Column:
@@ -82,7 +78,7 @@ def price(values: list[Column], listing_type: Column) -> Column:
     def read(c: Column) -> Column:
         listed = once(prices(c), lambda p: F.get(F.filter(F.when(rent, p).otherwise(_preferred(p)), lambda x: ok(x["amount"])), F.lit(0))["amount"])
         bare = F.when(c.rlike(f"^(?:{P.BARE_PRICE})$"), token(c))
-        return F.coalesce(listed, F.when(ok(bare), bare))
+        return F.coalesce(listed, once(bare, lambda x: F.when(ok(x), x)))
 
     return F.coalesce(*map(read, values))
 
@@ -94,14 +90,13 @@ def surface(values: list[Column]) -> Column:
         listed = F.concat(F.regexp_extract_all(c, F.lit(P.AREA), 1), F.regexp_extract_all(c, F.lit(P.AREA_AFTER), 1))
         first = F.get(F.filter(F.transform(listed, lambda x: token(x)), lambda x: _in(x, P.SURFACE)), F.lit(0))
         bare = F.when(c.rlike(r"^[0-9]+(?:[,.][0-9]{1,2})?$"), token(c))
-        return F.coalesce(first, F.when(_in(bare, P.SURFACE), bare))
+        return F.coalesce(first, once(bare, lambda x: F.when(_in(x, P.SURFACE), x)))
 
     return F.coalesce(*map(read, values))
 
 
 def _count(c: Column, pattern: str, bounds: tuple, group: int = 1) -> Column:
-    n = F.regexp_extract(c, pattern, group).try_cast("int")
-    return F.when(_in(n, bounds), n)
+    return once(F.regexp_extract(c, pattern, group).try_cast("int"), lambda n: F.when(_in(n, bounds), n))
 
 
 def _any(values: list[Column], pattern: str) -> Column:
@@ -113,8 +108,8 @@ def _any(values: list[Column], pattern: str) -> Column:
 
 def bedrooms(values: list[Column]) -> Column:
     """0 for a studio anywhere, else the count of bedrooms, else the count of rooms less one."""
-    pieces = F.coalesce(*(_count(c, P.PIECES, (1, P.ROOMS[1] + 2)) for c in values))
-    return F.when(_any(values, P.STUDIO), F.lit(0)).otherwise(F.coalesce(*(_count(c, P.BEDROOMS, P.ROOMS) for c in values), F.when(pieces.isNotNull(), F.greatest(pieces - 1, F.lit(0)))))
+    pieces = F.coalesce(*(_count(c, P.PIECES, (1, P.ROOMS[1] + 2)) for c in values)) - 1
+    return F.when(_any(values, P.STUDIO), F.lit(0)).otherwise(F.coalesce(*(_count(c, P.BEDROOMS, P.ROOMS) for c in values), pieces))
 
 
 def bathrooms(values: list[Column]) -> Column:
@@ -125,8 +120,8 @@ def bathrooms(values: list[Column]) -> Column:
 def floor(c: Column, focused: bool = False) -> Column:
     """0 for a ground floor, else the number with a floor word (an explicit 0 is null); focused: a number alone from 1 on as well."""
     n = F.coalesce(F.regexp_extract(c, P.FLOOR_ANY, 1).try_cast("int"), F.regexp_extract(c, P.FLOOR_ANY, 2).try_cast("int"))
-    worded = F.when(_in(n, (1, P.FLOOR[1])), n)
-    alone = F.when(integer(c, (1, P.FLOOR[1])) > 0, integer(c, (1, P.FLOOR[1]))) if focused else F.lit(None).cast("int")
+    worded = once(n, lambda x: F.when(_in(x, (1, P.FLOOR[1])), x))
+    alone = integer(c, (1, P.FLOOR[1])) if focused else F.lit(None).cast("int")
     return F.when(c.rlike(P.GROUND), F.lit(0)).when(c.rlike(P.FLOOR_ANY), worded).otherwise(alone)
 
 
@@ -145,10 +140,12 @@ def integer(c: Column, bounds: tuple) -> Column:
 
 def plain_decimal(c: Column, low=None, high=None, digits: int | None = None) -> Column:
     """A text that is a decimal number, comma or point, in range; rounded half up."""
-    x = F.replace(c, F.lit(","), F.lit(".")).try_cast("decimal(28,10)")
-    ok = F.lit(True) if low is None else x >= low
-    ok = ok if high is None else ok & (x <= high)
-    return F.when(ok, x if digits is None else F.round(x, digits))
+    def read(x: Column) -> Column:
+        ok = F.lit(True) if low is None else x >= low
+        ok = ok if high is None else ok & (x <= high)
+        return F.when(ok, x if digits is None else F.round(x, digits))
+
+    return once(F.replace(c, F.lit(","), F.lit(".")).try_cast("decimal(28,10)"), read)
 
 
 def coordinate(c: Column, bound: int) -> Column:
@@ -157,13 +154,16 @@ def coordinate(c: Column, bound: int) -> Column:
 
 def ratio(a: Column, b: Column, digits: int, kind: str) -> Column:
     """a / b, half up; null for a missing or zero divisor."""
-    return F.round(F.try_divide(a.cast("decimal(20,2)"), F.nullif(b.cast("decimal(20,2)"), F.lit(0).cast("decimal(20,2)"))), digits).cast(kind)
+    return F.round(F.try_divide(a.cast("decimal(20,2)"), b.cast("decimal(20,2)")), digits).cast(kind)
 
 
 def price_per_m2(price: Column, surface: Column, property_type: Column) -> Column:
     """price / surface where it lies in the property type's range."""
-    value = ratio(price, F.when(surface > 0, surface), 2, "decimal(20,2)")
-    ok = _in(value, P.PPM2_OTHER)
-    for kind, bounds in P.PPM2.items():
-        ok = F.when(property_type == kind, _in(value, bounds)).otherwise(ok)
-    return F.when(ok, value)
+
+    def read(value: Column) -> Column:
+        ok = _in(value, P.PPM2_OTHER)
+        for kind, bounds in P.PPM2.items():
+            ok = F.when(property_type == kind, _in(value, bounds)).otherwise(ok)
+        return F.when(ok, value)
+
+    return once(ratio(price, F.when(surface > 0, surface), 2, "decimal(20,2)"), read)

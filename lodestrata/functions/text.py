@@ -23,6 +23,16 @@ def _unescape_rare(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
 
+def once(value: Column, body) -> Column:
+    """body(value) with value computed once, however often body uses it: keeps plans small where a parsed text is looked at several times."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def filled(c: Column) -> Column:
+    """c, null if empty."""
+    return once(c, lambda x: F.when(x != "", x))
+
+
 def unescape(c: Column) -> Column:
     """HTML entities resolved: without an ampersand nothing, otherwise the standard library's whole table, in Arrow batches."""
     return _unescape_rare(c)
@@ -37,9 +47,11 @@ def unescape_basic(c: Column) -> Column:
 
 def repair_mojibake(c: Column) -> Column:
     """Text whose UTF-8 bytes were read as Latin-1, read again; anything else as it is."""
-    suspect = c.rlike("[ÃÂ]") & c.rlike(r"^[\x00-\xFF]*$")
-    raw = F.encode(F.when(suspect, c), "ISO-8859-1")
-    return F.when(suspect & F.is_valid_utf8(raw.cast("string")), raw.cast("string")).otherwise(c)
+    def read(t: Column) -> Column:
+        raw = F.encode(F.when(t.rlike("[ÃÂ]") & t.rlike(r"^[\x00-\xFF]*$"), t), "ISO-8859-1").cast("string")
+        return once(raw, lambda r: F.when(F.is_valid_utf8(r), r).otherwise(t))
+
+    return once(c, read)
 
 
 def redact(c: Column) -> Column:
@@ -58,12 +70,12 @@ def sanitize(c: Column, full_entities: bool = False) -> Column:
     """Entities, mojibake, tags, personal data, blanks; an empty text is null."""
     c = unescape(c.cast("string")) if full_entities else unescape_basic(c.cast("string"))
     c = F.regexp_replace(repair_mojibake(c), "<[^>]+>", " ")
-    return F.nullif(squeeze(redact(squeeze(c))), F.lit(""))
+    return filled(squeeze(redact(squeeze(c))))
 
 
 def known(c: Column) -> Column:
     """A sanitized text, null if it spells a missing value."""
-    return F.when(~F.lower(F.trim(c)).isin(*P.NULLS), F.nullif(c, F.lit("")))
+    return once(c, lambda x: F.when(~F.lower(F.trim(x)).isin("", *P.NULLS), x))
 
 
 def clean(c: Column) -> Column:
@@ -86,7 +98,7 @@ def stripped(c: Column) -> Column:
 
 def found(c: Column, pattern: str, group: int = 1) -> Column:
     """The group of the first match, null without one."""
-    return F.when(c.rlike(pattern), F.nullif(F.regexp_extract(c, pattern, group), F.lit("")))
+    return filled(F.regexp_extract(c, pattern, group))
 
 
 def python_escape(words: tuple[str, ...]) -> str:

@@ -16,9 +16,8 @@ def clean_title(c: Column, address: Column) -> Column:
     for tail in P.TITLE_TAILS:
         out = F.regexp_replace(out, tail, "")
     out = text.stripped(out)
-    from_url = url.title(address)
-    poor = (F.length(out) < 8) | text.key(out).isin(*P.GENERIC_TITLES)
-    return F.when(c.isNull(), from_url).when(poor, F.coalesce(from_url, F.nullif(out, F.lit("")))).otherwise(F.left(out, F.lit(220)))
+    whole = text.once(out, lambda t: F.when((F.length(t) >= 8) & ~text.key(t).isin(*P.GENERIC_TITLES), F.left(t, F.lit(220))))
+    return F.coalesce(whole, url.title(address), text.filled(out))
 
 
 def is_card_noise(c: Column) -> Column:

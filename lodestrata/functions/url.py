@@ -23,39 +23,48 @@ SITE = Site()
 
 def normalize(c: Column, site: Site | None = SITE) -> Column:
     """Scheme, host and path without parameters, query, fragment and last slash; null for a foreign host. Host case is kept. site None: any host."""
-    c = F.trim(c)
     base = (site or SITE).base
+    return text.once(text.once(F.trim(c), lambda x: _absolute(x, base)), lambda x: _normal(x, site))
+
+
+def _absolute(c: Column, base: str) -> Column:
     absolute = F.when(c.rlike("^[A-Za-z][A-Za-z0-9+.-]*://"), c).when(c.startswith("//"), F.concat(F.lit(base.split(":")[0] + ":"), c)).when(c.startswith("/"), F.concat(F.lit(base), c)).otherwise(F.concat(F.lit(base + "/"), c))
-    absolute = F.when(c != "", absolute)
+    return F.when(c != "", absolute)
+
+
+def _normal(absolute: Column, site: Site | None) -> Column:
     scheme = F.lower(F.regexp_extract(absolute, "^([A-Za-z][A-Za-z0-9+.-]*)://", 1))
     host = F.regexp_extract(absolute, "^[^:]+://([^/?#]*)", 1)
     path = F.regexp_extract(absolute, "^[^:]+://[^/?#]*([^?#]*)", 1)
     path = F.regexp_replace(F.regexp_replace(path, ";[^/]*$", ""), "/+$", "")
-    whole = F.concat(scheme, F.lit("://"), host, path)
-    return F.when(F.lower(host).isin(*site.hosts), whole) if site else F.when(host != "", whole)
+    return text.once(host, lambda h: F.when(F.lower(h).isin(*site.hosts) if site else h != "", F.concat(scheme, F.lit("://"), h, path)))
 
 
 def path(c: Column) -> Column:
     """The decoded path of a normal address."""
     raw = F.regexp_extract(c, "^[^:]+://[^/]*(.*)$", 1)
-    return F.coalesce(F.try_url_decode(F.replace(raw, F.lit("+"), F.lit("%2B"))), raw)
+    return text.once(raw, lambda r: F.coalesce(F.try_url_decode(F.replace(r, F.lit("+"), F.lit("%2B"))), r))
 
 
 def title(c: Column) -> Column:
     """A title from the last segment: no ending, no trailing number, blanks for _ and -."""
     stem = F.regexp_replace(F.element_at(F.split(path(c), "/"), -1), r"(?<=.)\.[^.]*$", "")
     out = text.squeeze(F.regexp_replace(F.regexp_replace(stem, "_[0-9]+$", ""), "[_-]+", " "))
-    return F.when((out != "") & ~F.lower(out).isin("listing", "annonce"), F.concat(F.upper(F.left(out, F.lit(1))), F.substring(out, 2, 10_000)))
+    return text.once(out, lambda t: F.when(~F.lower(t).isin("", "listing", "annonce"), F.concat(F.upper(F.left(t, F.lit(1))), F.substring(t, 2, 10_000))))
 
 
 def place(c: Column) -> Column:
     """struct(city, district) from the path: the first segment that is no language or category, and not the last."""
     parts = F.filter(F.split(path(c), "/"), lambda p: (p != "") & ~F.lower(p).isin("fr", "ar"))
-    labels = F.transform(parts, lambda p: location.title_case(text.squeeze(F.regexp_replace(text.clean(p), "[_-]+", " "))))
-    useful = F.filter(F.slice(labels, 1, F.greatest(F.size(labels) - 1, F.lit(0))), lambda p: p.isNotNull() & (p != "") & ~F.replace(F.lower(p), F.lit(" "), F.lit("_")).isin(*P.CATEGORY_SLUGS))
-    first = F.get(useful, 0)
-    is_city = F.replace(F.lower(first), F.lit(" "), F.lit("_")).isin(*P.CITY_SLUGS)
-    return F.struct(F.when(is_city, location.city(first)).alias("city"), F.when(~is_city, location.district(first)).alias("district"))
+    labels = text.once(parts, lambda p: F.transform(F.slice(p, 1, F.greatest(F.size(p) - 1, F.lit(0))), lambda x: location.title_case(text.squeeze(F.regexp_replace(text.clean(x), "[_-]+", " ")))))
+    slug = lambda x: F.replace(F.lower(x), F.lit(" "), F.lit("_"))
+    useful = F.filter(labels, lambda p: p.isNotNull() & (p != "") & ~slug(p).isin(*P.CATEGORY_SLUGS))
+
+    def split(first: Column) -> Column:
+        is_city = slug(first).isin(*P.CITY_SLUGS)
+        return F.struct(F.when(is_city, location.city(first)).alias("city"), F.when(~is_city, location.district(first)).alias("district"))
+
+    return text.once(F.get(useful, F.lit(0)), split)
 
 
 def looks_like_listing(c: Column) -> Column:

@@ -52,8 +52,8 @@ def assert_contract(df: DataFrame, allowed) -> None:
 
 def keep_first(df: DataFrame, by: str = "listing_url", order: str = "ordinal") -> DataFrame:
     """The first row of each key in order; rows without a key all stay."""
-    keyed = df.where(F.col(by).isNotNull()).withColumn("_n", F.row_number().over(W.Window.partitionBy(by).orderBy(order))).where("_n = 1").drop("_n")
-    return keyed.unionByName(df.where(F.col(by).isNull()))
+    alone = F.when(F.col(by).isNull(), F.col(order))  # rows without a key are their own groups, so they neither vanish nor meet in one task
+    return filter_above(df.withColumn("_n", F.row_number().over(W.Window.partitionBy(by, alone).orderBy(order))), F.col("_n") == 1).drop("_n")
 
 
 def keep_last(df: DataFrame, by: str = "listing_url", order: str = "ordinal") -> DataFrame:
@@ -132,7 +132,8 @@ def typed(raw: DataFrame, current_year: int, strict_label: bool = False) -> Data
     df = df.withColumn("reject_reason", reject_reason())
     # accepted rows pass the sanitizer once more: its wider list of address words empties some places
     df = df.withColumns({c: location.no_address(text.sanitize(F.col(c))) for c in ("city", "district")})
-    return df.select(*schemas.CORE, *schemas.OPTIONAL_FEATURES, "reject_reason", *(["ordinal"] if "ordinal" in raw.columns else []))
+    # filters of later steps stay above these projections, so that a condition on a parsed column does not parse again
+    return filter_above(df.select(*schemas.CORE, *schemas.OPTIONAL_FEATURES, "reject_reason", *(["ordinal"] if "ordinal" in raw.columns else [])), F.lit(True))
 
 
 def reject_reason() -> Column:
@@ -167,11 +168,11 @@ def clean(raw: DataFrame, current_year: int, site: url.Site = url.SITE, strict_l
 
 
 def accepted(rows: DataFrame) -> DataFrame:
-    return filter_above(rows, F.col("reject_reason").isNull()).drop("reject_reason", "ordinal")
+    return rows.where(F.col("reject_reason").isNull()).drop("reject_reason", "ordinal")
 
 
 def rejected(rows: DataFrame) -> DataFrame:
-    return filter_above(rows, F.col("reject_reason").isNotNull())
+    return rows.where(F.col("reject_reason").isNotNull())
 
 
 def core(rows: DataFrame) -> DataFrame:

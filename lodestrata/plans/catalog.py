@@ -35,7 +35,8 @@ def typed(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def batch(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
-    rows = cleaning.accepted(typed(spark, sf_dir))
+    """Core and features of the clean rows. Both come from one typed frame, which joins and medians read several times: it is kept, spilling to disk, and made anew where an executor is lost."""
+    rows = cleaning.accepted(typed(spark, sf_dir)).persist()
     return cleaning.core(rows), cleaning.features(rows)
 
 
