@@ -9,6 +9,7 @@ import unicodedata
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from . import patterns as P
 
@@ -18,7 +19,7 @@ _ACCENTED = "".join(chr(c) for c in range(0xC0, 0x250) if len(unicodedata.normal
 _PLAIN = "".join(unicodedata.normalize("NFKD", c)[0] for c in _ACCENTED)
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def _unescape_rare(s: pd.Series) -> pd.Series:
     return s.map(html.unescape, na_action="ignore")
 
