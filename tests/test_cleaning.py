@@ -31,7 +31,7 @@ def cleaned(spark, **fields):
     return cleaning.clean(raw(spark, **fields), YEAR).first()
 
 
-@pytest.mark.parametrize(("given", "expected"), [("1 250 000 DH", "1250000.00"), ("1.5 million MAD", "1500000.00"), ("1.500 million", "1500000.00"), ("-3", "3.00"), ("1234 567 DH", "234567.00"), ("1 250 000 DH", "1250000.00"), ("Prix non spécifié", None), ("", None), (None, None)])
+@pytest.mark.parametrize(("given", "expected"), [("1 250 000 DH", "1250000.00"), ("1.5 million MAD", "1500000.00"), ("1.500 million", "1500000000.00"), ("-3", "3.00"), ("1234 567 DH", "234567.00"), ("1 250 000 DH", "1250000.00"), ("Prix non spécifié", None), ("", None), (None, None)])
 def test_any_decimal(spark, given, expected):
     got = value(spark, lambda c: numbers.any_decimal(text.clean(c)), given)
     assert got == (None if expected is None else Decimal(expected))
