@@ -217,9 +217,9 @@ def column_profile(spark, sf_dir):
     return report.column_profile(cleaning.accepted(typed(spark, sf_dir))).where(F.col("column_name").isin(*_PROFILE)).select("column_name", "missing", "missing_percent")
 
 
-@query("decimal_stats", " union all ".join(f"select '{c}' as column_name, cast(min({v}) as double) as min_value, cast(max({v}) as double) as max_value, round(sum({v}) / count({v})::double, 1) as avg_value from clean" for c, v in (("price", "price"), ("surface_m2", "s"), ("price_per_m2", "ppm2c / 100.0::double"))))
+@query("decimal_stats", " union all ".join(f"select '{c}' as column_name, cast(min({v}) as double) as min_value, cast(max({v}) as double) as max_value, round(sum({v}) / count({v})::double, 2) as avg_value from clean" for c, v in (("price", "price"), ("surface_m2", "s"), ("price_per_m2", "ppm2c / 100.0::double"))))
 def decimal_stats(spark, sf_dir):
-    return report.decimal_stats(cleaning.accepted(typed(spark, sf_dir))).withColumn("avg_value", F.round("avg_value", 1))
+    return report.decimal_stats(cleaning.accepted(typed(spark, sf_dir)))
 
 
 @query("success_rates", "select round(100 - 100.0::double * count(*) filter (where reject_reason = 'invalid_price') / n, 2) as price, 100.0::double as property_type, round(100 - 100.0::double * count(*) filter (where reject_reason = 'missing_district') / n, 2) as location from t, (select count(*) + count(*) filter (where k % 97 = 0) as n from t) group by n")
