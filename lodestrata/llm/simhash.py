@@ -14,6 +14,12 @@ so a reach of 2 serves a threshold of 4. The default reach is the whole threshol
 With two blocks there are 2^24 anchors, and a fingerprint has about 77 replicas: the work grows in proportion to the number of
 different fingerprints up to some tens of millions; one block has 2^12 anchors and about 22 replicas.
 
+Near copies of a lower similarity differ in more bits than a covering code reaches at a bearable number of replicas. For them
+(`near_components`, `dedup`) the fingerprint has 128 bits, and the same covering is laid over three runs of 46 of them; two
+fingerprints of which any run meets at an anchor are compared over all 128 bits. The distance is exact there, the meeting is not:
+the chance to meet is near 0.98 for texts of similarity 0.8 (Jaccard, five-word shingles), where they differ in 19 bits on average,
+and tends to 1 above. NEAR_THRESHOLD leaves room for the spread of that number, so some pairs of similarity 0.7 are linked too.
+
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is linked like any other; very long
 texts are hashed in pieces; repeated rows share a component; a component whose doc_ids are all null has component_id null,
 otherwise nulls do not count for the smallest; an empty table gives an empty result; further columns are ignored (`dedup` passes them through).
@@ -36,9 +42,12 @@ from . import common
 
 THRESHOLD = 2
 SHINGLE = 5
+#: For near copies: the most differing bits of 128, and the reach beyond the covering radius in each run.
+NEAR_THRESHOLD, NEAR_REACH = 24, 2
 _GENERATOR = 0xC75  # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, the Golay code's generator polynomial
 _BITS, _MESSAGES, _RADIUS = 23, 4096, 3
 _PIECE = 1 << 18
+_GROUP = 16384
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -217,19 +226,158 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2, reac
     return spreaded.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(meet, "a long, b long")
 
 
-def components(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
-    """doc_id, fp and component_id (smallest doc_id reachable over links) of every document."""
-    fps = common.stage(fingerprints(docs, words), "fingerprints")
+def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
+    """128 bits: bit set if it is set in over half of the different shingles' hashes; the smallest hash decides ties, which are common in short texts."""
+    tokens = text.encode("utf-8", "surrogatepass").lower().split()
+    if not tokens:
+        return bytes(16)
+    whole = b" ".join(tokens)
+    ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
+    starts = np.concatenate(([0], ends[:-words] + 1)).tolist()
+    hashes = list({xxhash.xxh3_128_digest(whole[a:b], 42) for a, b in zip(starts, ends[min(words, len(tokens)) - 1 :].tolist(), strict=True)})
+    ones = np.zeros(128, np.int64)
+    for i in range(0, len(hashes), _PIECE):
+        ones += np.unpackbits(np.frombuffer(b"".join(hashes[i : i + _PIECE]), np.uint8)).reshape(-1, 128).sum(0, dtype=np.int64)
+    tie = np.unpackbits(np.frombuffer(min(hashes), np.uint8))
+    return np.packbits(ones * 2 + tie > len(hashes)).tobytes()
+
+
+def wide_fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
+    """doc_id and the 128-bit fp of every document."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.BinaryType(), False)])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = [wide_fingerprint(t or "", words) for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.binary())], names=schema.names)
+
+    return docs.select("doc_id", F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+
+
+def _runs(fp: np.ndarray) -> list[np.ndarray]:
+    """Three runs of 46 bits, together all 128 (the second and the third share ten)."""
+    mask = np.uint64((1 << 2 * _BITS) - 1)
+    low, high = fp[:, 0], fp[:, 1]
+    return [low & mask, (low >> np.uint64(46) | high << np.uint64(18)) & mask, high >> np.uint64(18)]
+
+
+def _binary(rows: np.ndarray) -> pa.Array:
+    """The rows of a matrix as binary values."""
+    rows = np.ascontiguousarray(rows)
+    wide = rows.strides[0] if len(rows) else 0
+    return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * wide).astype(np.int32)), pa.py_buffer(rows)])
+
+
+def _wide_links(anchor: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
+    """Edges (a, b) that span the local components of every anchor; rows ordered by anchor."""
+    first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
+    size = np.diff(np.r_[first, len(anchor)])
+    a, b = [], []
+    small = (size > 1) & (size <= 32)
+    keep = np.repeat(small, size)
+    x, y = anchor[keep], fp[keep]
+    for step in range(1, int(size[small].max(initial=1))):  # neighbours at this step, all small anchors at once
+        near = np.flatnonzero(x[step:] == x[:-step])
+        near = near[np.bitwise_count(y[near + step] ^ y[near]).sum(1) <= threshold]
+        a.append(y[near + step])
+        b.append(y[near])
+    for k in np.flatnonzero(size > 32):
+        own = fp[first[k] : first[k] + size[k]]
+        rest = np.arange(len(own))
+        while len(rest) > 1:  # one component at a time, from its first row outwards
+            front, rest = [int(rest[0])], rest[1:]
+            while front and len(rest):
+                at = front.pop()
+                hit = np.bitwise_count(own[rest] ^ own[at]).sum(1) <= threshold
+                found, rest = rest[hit], rest[~hit]
+                a.append(own[found])
+                b.append(np.broadcast_to(own[at], (len(found), 2)))
+                front += found.tolist()
+    none = np.zeros((0, 2), np.uint64)
+    return np.concatenate([none, *a]), np.concatenate([none, *b])
+
+
+def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
+    """Edges (a, b) between different 128-bit fingerprints that meet at an anchor of any run. distinct: column fp, no repeats.
+
+    Replicas travel packed: one row for those of a group of documents that share all but the last byte of the anchor.
+    """
+    record = np.dtype([("last", np.uint8), ("fp", np.uint64, 2)])
+
+    def pack(fp: np.ndarray) -> Iterator[pa.RecordBatch]:
+        for t, run in enumerate(_runs(fp)):
+            parts = [(i, replicas(run[i : i + 4096], 2, reach)) for i in range(0, len(run), 4096)]
+            rows = np.concatenate([(r + i).astype(np.int32) for i, (r, _, _) in parts])
+            anchor = np.concatenate([x.astype(np.int32) for _, (_, x, _) in parts])
+            order = np.argsort(anchor, kind="stable")
+            rows, anchor = rows[order], anchor[order]
+            packed = np.empty(len(rows), record)
+            packed["last"], packed["fp"] = anchor & 255, fp[rows]
+            bucket = anchor >> 8
+            first = np.flatnonzero(np.r_[True, bucket[1:] != bucket[:-1]])
+            ends = (np.r_[first, len(bucket)] * record.itemsize).astype(np.int32)
+            data = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(ends), pa.py_buffer(packed)])
+            yield pa.RecordBatch.from_arrays([pa.array((t << 16 | bucket[first]).astype(np.int32)), data], names=["bucket", "packed"])
+
+    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        waiting = b""
+        for batch in batches:
+            waiting += b"".join(batch.column("fp").to_pylist())
+            while len(waiting) >= _GROUP * 16:
+                yield from pack(np.frombuffer(waiting[: _GROUP * 16], np.uint64).reshape(-1, 2))
+                waiting = waiting[_GROUP * 16 :]
+        if waiting:
+            yield from pack(np.frombuffer(waiting, np.uint64).reshape(-1, 2))
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        anchor, fp = np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+        for batch in batches:
+            if not batch.num_rows:
+                continue
+            packed = batch.column("packed").to_pylist()
+            data = np.frombuffer(b"".join(packed), record)
+            bucket = np.repeat(batch.column("bucket").to_numpy().astype(np.int64), np.fromiter(map(len, packed), np.int64, len(packed)) // record.itemsize)
+            anchor, fp = np.concatenate((anchor, bucket << 8 | data["last"])), np.concatenate((fp, data["fp"]))
+            cut = int(np.searchsorted(anchor >> 8, bucket[-1]))  # the last bucket may go on in the next batch
+            if cut:
+                yield out(anchor[:cut], fp[:cut])
+            anchor, fp = anchor[cut:], fp[cut:]
+        if len(anchor):
+            yield out(anchor, fp)
+
+    def out(anchor: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
+        order = np.argsort(anchor, kind="stable")
+        a, b = _wide_links(anchor[order], fp[order], threshold)
+        once = pa.table([_binary(a), _binary(b)], names=["a", "b"]).group_by(["a", "b"]).aggregate([])
+        return pa.RecordBatch.from_arrays([once.column(c).combine_chunks() for c in ("a", "b")], names=["a", "b"])
+
+    n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spreaded = distinct.select("fp").repartition(n, "fp").mapInArrow(spread, "bucket int, packed binary")
+    return spreaded.repartition("bucket").sortWithinPartitions("bucket").mapInArrow(meet, "a binary, b binary")
+
+
+def _components(fps: DataFrame, link) -> DataFrame:
+    """fps with component_id, where link gives the edges between different fingerprints."""
     distinct = common.stage(fps.groupBy("fp").agg(F.min("doc_id").alias("low")), "distinct")
-    roots = common.connected_components(common.stage(links(distinct, threshold, blocks, reach), "links")).select(F.col("node").alias("fp"), "root")
+    roots = common.connected_components(common.stage(link(distinct), "links")).select(F.col("node").alias("fp"), "root")
     known = distinct.join(roots, "fp", "left").select("fp", "low", F.coalesce("root", "fp").alias("root"))
     lowest = known.groupBy("root").agg(F.min("low").alias("component_id"))
     return fps.join(known.select("fp", "root").join(lowest, "root").select("fp", "component_id"), "fp")
 
 
-def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
-    """The documents, all columns, of which one of each component stays: the one with the smallest doc_id (of repeated rows, one)."""
-    ids = components(docs, words, threshold, blocks, reach)
+def components(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD, blocks: int = 2, reach: int | None = None) -> DataFrame:
+    """doc_id, fp and component_id (smallest doc_id reachable over links) of every document; no link within the threshold is lost."""
+    return _components(common.stage(fingerprints(docs, words), "fingerprints"), lambda distinct: links(distinct, threshold, blocks, reach))
+
+
+def near_components(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH) -> DataFrame:
+    """doc_id, the 128-bit fp and component_id of every document, for near copies of similarity 0.8 or more."""
+    return _components(common.stage(wide_fingerprints(docs, words), "fingerprints"), lambda distinct: wide_links(distinct, threshold, reach))
+
+
+def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH) -> DataFrame:
+    """The documents, all columns, of which one of each group of near copies stays: the one with the smallest doc_id (of repeated rows, one)."""
+    ids = near_components(docs, words, threshold, reach)
     stay = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
     once = F.row_number().over(W.Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text"))

@@ -153,6 +153,64 @@ def test_near_dedup(edge):
     assert len([i for i in ids if i in (3, 4, 5)]) == 1  # texts without words
 
 
+def shingles(text):
+    words = re.findall(r"[^\x20\x09-\x0D]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or ""))
+    return {" ".join(words[i : i + 5]) for i in range(max(1, len(words) - 4))} if words else set()
+
+
+def test_wide_fingerprint(edge):
+    for text in {r.text or "" for r in edge.collect()}:
+        hashes = [xxhash.xxh3_128_intdigest(g, 42) for g in shingles(text)]
+        ones = [2 * sum(h >> b & 1 for h in hashes) + (min(hashes, default=0) >> b & 1) for b in range(128)]
+        assert int.from_bytes(simhash.wide_fingerprint(text), "big") == sum(1 << b for b, k in enumerate(ones) if k > len(hashes))
+
+
+def test_wide_links(spark):
+    """Within an anchor all that is near is connected, small anchors and large; links are true ones; what is very near always meets."""
+    rng = np.random.default_rng(3)
+    centres = rng.integers(0, 2**63, (30, 2)).astype(np.uint64)
+    fp = [centres, np.array([[0, 0]], np.uint64)]
+    for bits in (1, 2, 4):
+        for _ in range(20):
+            moved = centres.copy()
+            for i in range(30):
+                for b in rng.choice(128, bits, replace=False):
+                    moved[i, b // 64] ^= np.uint64(1 << int(b % 64))
+            fp.append(moved)
+    fp = np.unique(np.concatenate(fp), axis=0)
+    edges = simhash.wide_links(spark.createDataFrame([(bytearray(f.tobytes()),) for f in fp], "fp binary"), 8, 2).collect()
+    bits = lambda x, y: (int.from_bytes(x, "big") ^ int.from_bytes(y, "big")).bit_count()
+    assert edges and max(bits(e.a, e.b) for e in edges) <= 8
+    roots = {bytes(r.node): bytes(r.root) for r in simhash.common.connected_components(spark.createDataFrame(edges, "a binary, b binary")).collect()}
+    own = [f.tobytes() for f in fp]
+    assert len({roots.get(f, f) for f in own}) == 31
+    order = np.zeros(len(fp), np.int64)
+    a, b = simhash._wide_links(order, fp, 8)  # one large anchor
+    local = {bytes(r.node): bytes(r.root) for r in simhash.common.connected_components(spark.createDataFrame([(bytearray(x.tobytes()), bytearray(y.tobytes())) for x, y in zip(a, b, strict=True)], "a binary, b binary")).collect()}
+    assert len({local.get(f, f) for f in own}) == 31
+
+
+def test_near_copies(spark):
+    """Against brute force on similarity: nine in ten of the pairs of similarity 0.8 or more meet, and texts that share little never do."""
+    rng = random.Random(8)
+    texts = []
+    for _ in range(150):
+        words = [f"w{rng.randrange(3000)}" for _ in range(rng.randrange(60, 300))]
+        texts.append(" ".join(words))
+        for _ in range(2):
+            for _ in range(max(1, len(words) // 60)):
+                words[rng.randrange(len(words))] = f"v{rng.randrange(3000)}"
+            texts.append(" ".join(words))
+    own = [shingles(t) for t in texts]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = {r.doc_id: r.component_id for r in simhash.near_components(df).collect()}
+    near = [(i, j) for i in range(len(texts)) for j in range(i) if len(own[i] & own[j]) >= 0.8 * len(own[i] | own[j])]
+    assert len(near) > 100
+    assert sum(root[i] == root[j] for i, j in near) >= 0.9 * len(near)
+    assert all(root[i] // 3 == i // 3 for i in root)
+    assert simhash.near_components(df.limit(0)).count() == 0
+
+
 # --- packing
 
 
