@@ -22,8 +22,8 @@ def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of near copies: five-word shingles, at most 4 of 64 bits apart."""
-    return simhash.dedup(docs, words=5, threshold=4, reach=2)
+    """One document of each group of near copies: five-word shingles, similarity 0.8 or more."""
+    return simhash.dedup(docs)
 
 
 def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
