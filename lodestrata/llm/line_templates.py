@@ -91,7 +91,7 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], T.StructField("n_lines", T.LongType()), T.StructField("lines", T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("hash", T.LongType())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             n, ends, cols = [], [0], ([], [], [])
             for text in batch.column("text").to_pylist():
                 own = _lines(text)
@@ -114,12 +114,13 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) ->
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             count: dict[str, list[int]] = {}
-            for doc, text in zip(batch.column("doc_id").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                doc = _LAST if doc is None else doc
-                for words in {" ".join(w) for w in _lines(text) if w}:
-                    x = count.setdefault(words, [0, doc])
-                    x[0] += 1
-                    x[1] = min(x[1], doc)
+            for part in common.slices(iter((batch,))):
+                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                    doc = _LAST if doc is None else doc
+                    for words in {" ".join(w) for w in _lines(text) if w}:
+                        x = count.setdefault(words, [0, doc])
+                        x[0] += 1
+                        x[1] = min(x[1], doc)
             keys = list(count)
             yield pa.RecordBatch.from_arrays(
                 [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), pa.array([count[k][0] for k in keys], pa.int64()), pa.array([count[k][1] for k in keys], pa.int64())],

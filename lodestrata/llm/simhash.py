@@ -47,7 +47,8 @@ NEAR_THRESHOLD, NEAR_REACH = 24, 2
 _GENERATOR = 0xC75  # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, the Golay code's generator polynomial
 _BITS, _MESSAGES, _RADIUS = 23, 4096, 3
 _PIECE = 1 << 18
-_GROUP = 16384
+_PART = 1 << 14
+_GROUP, _STEP = 8192, 2048
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -89,14 +90,14 @@ def _golay() -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray
     code = np.zeros_like(m)
     for i in range(12):
         code ^= np.where(m >> i & 1, np.uint32(_GENERATOR << i), np.uint32(0)).astype(np.uint32)
-    word = np.arange(1 << _BITS, dtype=np.uint32)
-    errors = word[np.bitwise_count(word) <= _RADIUS]
+    errors = np.arange(1 << _BITS, dtype=np.uint32)
+    errors = errors[np.bitwise_count(errors) <= _RADIUS]
     message, error = np.zeros(1 << _BITS, np.uint16), np.zeros(1 << _BITS, np.uint16)
     for k, e in enumerate(errors):
         message[code ^ e] = m
         error[code ^ e] = k
-    far = np.bitwise_count(errors[:, None] ^ code[None, :]).astype(np.uint8)
-    order = np.argsort(far, axis=1, kind="stable").astype(np.uint16)
+    far = np.stack([np.bitwise_count(e ^ code) for e in errors])
+    order = np.stack([np.argsort(x, kind="stable").astype(np.uint16) for x in far])
     distance = np.take_along_axis(far, order, axis=1)
     upto = np.stack([(far <= d).sum(1) for d in range(_BITS + 1)], axis=1).astype(np.int64)
     return message, error, order, distance, upto
@@ -233,12 +234,20 @@ def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
         return bytes(16)
     whole = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
-    starts = np.concatenate(([0], ends[:-words] + 1)).tolist()
-    hashes = list({xxhash.xxh3_128_digest(whole[a:b], 42) for a, b in zip(starts, ends[min(words, len(tokens)) - 1 :].tolist(), strict=True)})
+    del tokens
+    starts = np.concatenate(([0], ends[:-words] + 1))
+    ends = ends[min(words, len(ends)) - 1 :]
+    parts = []
+    for i in range(0, len(starts), _PART):
+        spans = zip(starts[i : i + _PART].tolist(), ends[i : i + _PART].tolist(), strict=True)
+        parts.append(b"".join([xxhash.xxh3_128_digest(whole[a:b], 42) for a, b in spans]))
+    hashes = np.frombuffer(b"".join(parts), ">u8").reshape(-1, 2).astype(np.uint64)
+    hashes = hashes[np.lexsort((hashes[:, 1], hashes[:, 0]))]
+    hashes = hashes[np.r_[True, (hashes[1:] != hashes[:-1]).any(1)]].astype(">u8")  # each shingle once, the smallest hash first
     ones = np.zeros(128, np.int64)
-    for i in range(0, len(hashes), _PIECE):
-        ones += np.unpackbits(np.frombuffer(b"".join(hashes[i : i + _PIECE]), np.uint8)).reshape(-1, 128).sum(0, dtype=np.int64)
-    tie = np.unpackbits(np.frombuffer(min(hashes), np.uint8))
+    for i in range(0, len(hashes), _PART):
+        ones += np.unpackbits(hashes[i : i + _PART].view(np.uint8), axis=1).sum(0, dtype=np.int64)
+    tie = np.unpackbits(hashes[0].view(np.uint8))
     return np.packbits(ones * 2 + tie > len(hashes)).tobytes()
 
 
@@ -247,7 +256,7 @@ def wide_fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
     schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in common.slices(batches):
             fp = [wide_fingerprint(t or "", words) for t in batch.column("_text").to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.binary())], names=schema.names)
 
@@ -306,7 +315,7 @@ def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
 
     def pack(fp: np.ndarray) -> Iterator[pa.RecordBatch]:
         for t, run in enumerate(_runs(fp)):
-            parts = [(i, replicas(run[i : i + 4096], 2, reach)) for i in range(0, len(run), 4096)]
+            parts = [(i, replicas(run[i : i + _STEP], 2, reach)) for i in range(0, len(run), _STEP)]
             rows = np.concatenate([(r + i).astype(np.int32) for i, (r, _, _) in parts])
             anchor = np.concatenate([x.astype(np.int32) for _, (_, x, _) in parts])
             order = np.argsort(anchor, kind="stable")
