@@ -277,33 +277,58 @@ def _binary(rows: np.ndarray) -> pa.Array:
     return pa.Array.from_buffers(pa.binary(), len(rows), [None, pa.py_buffer((np.arange(len(rows) + 1) * wide).astype(np.int32)), pa.py_buffer(rows)])
 
 
+def _least(n: int, i: np.ndarray, j: np.ndarray) -> np.ndarray:
+    """For n numbered nodes and edges between them the smallest number of each node's component."""
+    own, before = np.arange(n), None
+    while before is None or (own != before).any():
+        before = own
+        least = np.minimum(own[i], own[j])
+        own = own.copy()
+        np.minimum.at(own, i, least)
+        np.minimum.at(own, j, least)
+        own = own[own]
+    return own
+
+
+def _contracted(a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Edges that connect the same fingerprints, each with the smallest of its component: fewer edges than fingerprints."""
+    fp = np.concatenate((a, b))
+    order = np.lexsort((fp[:, 1], fp[:, 0]))
+    new = np.r_[True, (fp[order[1:]] != fp[order[:-1]]).any(1)] if len(fp) else np.zeros(0, bool)
+    number = np.empty(len(fp), np.int64)
+    number[order] = np.cumsum(new) - 1
+    node = fp[order[new]]
+    root = _least(len(node), number[: len(a)], number[len(a) :])
+    member = np.flatnonzero(root != np.arange(len(root)))
+    return node[member], node[root[member]]
+
+
 def _wide_links(anchor: np.ndarray, fp: np.ndarray, threshold: int) -> tuple[np.ndarray, np.ndarray]:
-    """Edges (a, b) that span the local components of every anchor; rows ordered by anchor."""
+    """Edges (member, smallest member of its local component) of every anchor; rows ordered by anchor, then fp. Never all pairs."""
     first = np.flatnonzero(np.r_[True, anchor[1:] != anchor[:-1]])
     size = np.diff(np.r_[first, len(anchor)])
-    a, b = [], []
-    small = (size > 1) & (size <= 32)
-    keep = np.repeat(small, size)
-    x, y = anchor[keep], fp[keep]
-    for step in range(1, int(size[small].max(initial=1))):  # neighbours at this step, all small anchors at once
-        near = np.flatnonzero(x[step:] == x[:-step])
-        near = near[np.bitwise_count(y[near + step] ^ y[near]).sum(1) <= threshold]
-        a.append(y[near + step])
-        b.append(y[near])
+    root = np.arange(len(anchor))
+    small = np.flatnonzero(np.repeat((size > 1) & (size <= 32), size))
+    x, y = anchor[small], fp[small]
+    near = [np.zeros((0, 2), np.int64)]
+    for step in range(1, int(size[size <= 32].max(initial=1))):  # neighbours at this step, all small anchors at once
+        at = np.flatnonzero(x[step:] == x[:-step])
+        at = at[np.bitwise_count(y[at + step] ^ y[at]).sum(1) <= threshold]
+        near.append(np.stack((at + step, at), 1))
+    i, j = np.concatenate(near).T
+    root[small] = small[_least(len(small), i, j)]
     for k in np.flatnonzero(size > 32):
         own = fp[first[k] : first[k] + size[k]]
         rest = np.arange(len(own))
         while len(rest) > 1:  # one component at a time, from its first row outwards
-            front, rest = [int(rest[0])], rest[1:]
+            seed, front, rest = rest[0], [int(rest[0])], rest[1:]
             while front and len(rest):
-                at = front.pop()
-                hit = np.bitwise_count(own[rest] ^ own[at]).sum(1) <= threshold
+                hit = np.bitwise_count(own[rest] ^ own[front.pop()]).sum(1) <= threshold
                 found, rest = rest[hit], rest[~hit]
-                a.append(own[found])
-                b.append(np.broadcast_to(own[at], (len(found), 2)))
+                root[first[k] + found] = first[k] + seed
                 front += found.tolist()
-    none = np.zeros((0, 2), np.uint64)
-    return np.concatenate([none, *a]), np.concatenate([none, *b])
+    member = np.flatnonzero(root != np.arange(len(root)))
+    return fp[member], fp[root[member]]
 
 
 def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
@@ -340,6 +365,7 @@ def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, fp = np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
+        found = (fp, fp)  # all edges of the task, contracted whenever they have grown: groups of copies meet at many anchors
         for batch in batches:
             if not batch.num_rows:
                 continue
@@ -348,17 +374,17 @@ def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
             bucket = np.repeat(batch.column("bucket").to_numpy().astype(np.int64), np.fromiter(map(len, packed), np.int64, len(packed)) // record.itemsize)
             anchor, fp = np.concatenate((anchor, bucket << 8 | data["last"])), np.concatenate((fp, data["fp"]))
             cut = int(np.searchsorted(anchor >> 8, bucket[-1]))  # the last bucket may go on in the next batch
-            if cut:
-                yield out(anchor[:cut], fp[:cut])
+            found = grown(found, anchor[:cut], fp[:cut])
             anchor, fp = anchor[cut:], fp[cut:]
-        if len(anchor):
-            yield out(anchor, fp)
+        a, b = grown(found, anchor, fp)
+        yield pa.RecordBatch.from_arrays([_binary(a), _binary(b)], names=["a", "b"])
 
-    def out(anchor: np.ndarray, fp: np.ndarray) -> pa.RecordBatch:
-        order = np.argsort(anchor, kind="stable")
+    def grown(found: tuple[np.ndarray, np.ndarray], anchor: np.ndarray, fp: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        if not len(anchor):
+            return found
+        order = np.lexsort((fp[:, 1], fp[:, 0], anchor))
         a, b = _wide_links(anchor[order], fp[order], threshold)
-        once = pa.table([_binary(a), _binary(b)], names=["a", "b"]).group_by(["a", "b"]).aggregate([])
-        return pa.RecordBatch.from_arrays([once.column(c).combine_chunks() for c in ("a", "b")], names=["a", "b"])
+        return _contracted(np.concatenate((found[0], a)), np.concatenate((found[1], b))) if len(a) else found
 
     n = int(distinct.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     spreaded = distinct.select("fp").repartition(n, "fp").mapInArrow(spread, "bucket int, packed binary")
