@@ -17,8 +17,9 @@ different fingerprints up to some tens of millions; one block has 2^12 anchors a
 Near copies of a lower similarity differ in more bits than a covering code reaches at a bearable number of replicas. For them
 (`near_components`, `dedup`) the fingerprint has 128 bits, and the same covering is laid over three runs of 46 of them; two
 fingerprints of which any run meets at an anchor are compared over all 128 bits. The distance is exact there, the meeting is not:
-the chance to meet is near 0.98 for texts of similarity 0.8 (Jaccard, five-word shingles), where they differ in 19 bits on average,
-and tends to 1 above. NEAR_THRESHOLD leaves room for the spread of that number, so some pairs of similarity 0.7 are linked too.
+the chance to meet is estimated at 0.98 for texts of similarity 0.8 (Jaccard, five-word shingles), where they differ in 19 bits on average,
+and tends to 1 above. NEAR_THRESHOLD leaves room for the spread of that number, so many pairs of similarity
+0.6 to 0.8 are linked too; links are not verified on the shingles.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is linked like any other; very long
 texts are hashed in pieces; repeated rows share a component; a component whose doc_ids are all null has component_id null,
