@@ -3,7 +3,7 @@
 A line is split into words; a word with a digit is a variable field and becomes <*>. The parse tree has a fixed depth: first the number of
 words, then the leading words; its nodes hold templates. Within a node, templates of which at least `similar` of the places agree
 are one (the differing places generalise to <*>); they are taken in a fixed order, most documents first, so the result does not depend on the
-order of rows. A node with many templates is split by further leading words before templates are compared. A template
+order of rows. A node with many templates looks its groups up by words at their places, with the same result. A template
 that occurs in `least` or more documents recurs; its lines are dropped from every document but the first.
 
 Each task folds the equal lines of an Arrow batch before the shuffle, so a line that a third of all documents hold arrives as one row per batch, and
@@ -31,6 +31,7 @@ from . import common
 DEPTH = 3
 SIMILAR = 0.8
 LEAST = 3
+#: Over so many templates a node is searched by an index instead of comparing with every group; the groups are the same.
 NODE = 256
 VARIABLE = "<*>"
 _DIGIT = re.compile(r"[0-9]")
@@ -51,34 +52,42 @@ def node(words: list[str], depth: int = DEPTH) -> int:
     return _signed(xxhash.xxh64_intdigest(f"{len(words)} {' '.join(words[:depth])}"))
 
 
-def merged(templates: list[tuple[str, int]], similar: float = SIMILAR, depth: int = DEPTH) -> list[int]:
-    """For each distinct template of a node, with its count of documents, the place of its group's first in order."""
+def merged(templates: list[tuple[str, int]], similar: float = SIMILAR) -> list[int]:
+    """For each distinct template of a node, with its count of documents, the place of its group's first in order.
+
+    A template that agrees with a group in the needed places differs in at most `spare` of its own, so of any spare + 1 of its places one
+    agrees: in a large node only the groups found by the rarest such places are compared, and none is lost.
+    """
     out = [0] * len(templates)
-    todo = [(list(range(len(templates))), depth)]
-    while todo:
-        own, deep = todo.pop()
-        size = len(templates[own[0]][0].split(" "))
-        if len(own) > NODE and deep < size:
-            split: dict[str, list[int]] = {}
-            for i in own:
-                split.setdefault(templates[i][0].split(" ")[deep], []).append(i)
-            todo += [(v, deep + 1) for v in split.values()]
-            continue
-        order = sorted(own, key=lambda i: (-templates[i][1], templates[i][0]))
-        ids: dict[str, int] = {VARIABLE: 0}
-        words = np.array([[ids.setdefault(w, len(ids)) for w in templates[i][0].split(" ")] for i in order])
-        groups = np.zeros((0, size), np.int64)
-        heads: list[int] = []
-        for i, w in zip(order, words, strict=True):
-            share = ((groups == w) & (groups > 0)).sum(1) / np.maximum((w > 0).sum(), 1) if len(heads) else np.zeros(0)
-            best = int(share.argmax()) if len(heads) else -1
-            if best >= 0 and share[best] >= similar:
-                groups[best][groups[best] != w] = 0
-                out[i] = heads[best]
-            else:
-                groups = np.vstack((groups, w))
-                heads.append(i)
-                out[i] = i
+    order = sorted(range(len(templates)), key=lambda i: (-templates[i][1], templates[i][0]))
+    ids: dict[str, int] = {VARIABLE: 0}
+    words = np.array([[ids.setdefault(w, len(ids)) for w in templates[i][0].split(" ")] for i in order], np.int32)
+    groups = np.empty_like(words)
+    heads: list[int] = []
+    holders: dict[tuple[int, int], list[int]] = {}  # groups that had the word at the place when they began
+    for i, w in zip(order, words, strict=True):
+        fixed = np.flatnonzero(w)
+        if len(order) <= NODE:
+            near = np.arange(len(heads))
+        else:
+            need = next((m for m in range(len(fixed) + 1) if m / max(len(fixed), 1) >= similar), None)
+            places = list(zip(fixed.tolist(), w[fixed].tolist(), strict=True))
+            rare = [] if need is None else sorted((holders.get(x, ()) for x in places), key=len)[: len(places) - need + 1]
+            near = np.array(sorted(set().union(*rare)), np.int64)
+        own = groups[near]
+        share = ((own == w) & (own > 0)).sum(1) / max(len(fixed), 1)
+        best = int(share.argmax()) if len(near) else -1
+        if best >= 0 and share[best] >= similar:
+            g = near[best]
+            groups[g][groups[g] != w] = 0
+            out[i] = heads[g]
+        else:
+            if len(order) > NODE:
+                for x in places:
+                    holders.setdefault(x, []).append(len(heads))
+            groups[len(heads)] = w
+            heads.append(i)
+            out[i] = i
     return out
 
 

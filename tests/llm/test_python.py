@@ -409,3 +409,15 @@ def test_order_does_not_matter(spark):
     a = line_templates.dropped(spark.createDataFrame(rows, "doc_id long, text string")).orderBy("doc_id").collect()
     b = line_templates.dropped(spark.createDataFrame(rows[::-1], "doc_id long, text string")).orderBy("doc_id").collect()
     assert a == b
+
+
+def test_large_nodes_merge_alike(monkeypatch):
+    for n in (256, 257, 3000):
+        assert set(line_templates.merged([(f"Posted on behalf name{i:04d}x for the whole community newsletter team", 1) for i in range(n)])) == {0}
+    rng = random.Random(4)
+    kinds = [[rng.choice("abcdefgh") for _ in range(11)] for _ in range(60)]
+    many = {" ".join(w if rng.random() < 0.85 else rng.choice([*"abcdefgh", line_templates.VARIABLE]) for w in rng.choice(kinds)): rng.randint(1, 4) for _ in range(1500)}
+    got = line_templates.merged(list(many.items()))
+    monkeypatch.setattr(line_templates, "NODE", 10**9)
+    assert got == line_templates.merged(list(many.items()))
+    assert 60 <= len(set(got)) < len(many) > 256
