@@ -4,7 +4,8 @@ A line is split into words; a word with a digit is a variable field and becomes
 words, then the leading words; its nodes hold templates. Within a node, templates of which at least `similar` of the places agree
 are one (the differing places generalise to <*>); they are taken in a fixed order, most documents first, so the result does not depend on the
 order of rows. A node with many templates looks its groups up by words at their places, with the same result. A template
-that occurs in `least` or more documents recurs; its lines are dropped from every document but the first.
+that occurs in `least` or more documents recurs, and one of `long` or more words also if it occurs in two different texts (copies of one
+document are left to the dedup of documents); its lines are dropped from every document but the first.
 
 Each task folds the equal lines of an Arrow batch before the shuffle, so a line that a third of all documents hold arrives as one row per batch, and
 documents carry hashes of their lines only. The decisions are joined to the lines by those hashes (two of 64 bits).
@@ -31,6 +32,8 @@ from . import common
 DEPTH = 3
 SIMILAR = 0.8
 LEAST = 3
+#: Templates of at least so many words recur if they occur in two different texts (in `dedup` and the query).
+LONG = 50
 #: Over so many templates a node is searched by an index instead of comparing with every group; the groups are the same.
 NODE = 256
 VARIABLE = "<*>"
@@ -117,23 +120,28 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
 
-def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> DataFrame:
-    """node, hash and first document of every template that recurs."""
+def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
+    """node, hash and first document of every template that recurs; long: the words from which two different texts suffice."""
+
+    def joined(x: list, y: list) -> None:
+        """Count, first document, and the least and greatest hash of a text: they differ if the texts do."""
+        x[:] = [x[0] + y[0], min(x[1], y[1]), min(x[2], y[2]), max(x[3], y[3])]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count: dict[str, list[int]] = {}
+            count: dict[str, list] = {}
             for part in common.slices(iter((batch,))):
-                for doc, text in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), strict=True):
+                for doc, text, h in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), part.column("text_hash").to_pylist(), strict=True):
                     doc = _LAST if doc is None else doc
                     for words in {" ".join(w) for w in _lines(text) if w}:
-                        x = count.setdefault(words, [0, doc])
-                        x[0] += 1
-                        x[1] = min(x[1], doc)
+                        if words in count:
+                            joined(count[words], [1, doc, h, h])
+                        else:
+                            count[words] = [1, doc, h, h]
             keys = list(count)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), pa.array([count[k][0] for k in keys], pa.int64()), pa.array([count[k][1] for k in keys], pa.int64())],
-                names=["node", "words", "docs", "first"],
+                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), *(pa.array([count[k][j] for k in keys], pa.int64()) for j in range(4))],
+                names=["node", "words", "docs", "first", "low", "high"],
             )
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,35 +166,39 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) ->
         total = np.add.reduceat(number, start)
         end = np.r_[start[1:], len(ids)]
         out: tuple[list, list, list] = ([], [], [])
-        for a, b in zip(start[total >= least].tolist(), end[total >= least].tolist(), strict=True):
+        busy = total >= (least if long is None else min(least, 2))
+        for a, b in zip(start[busy].tolist(), end[busy].tolist(), strict=True):
             part = table.slice(a, b - a)
-            own: dict[str, list[int]] = {}
-            for w, n, f in zip(part.column("words").to_pylist(), part.column("docs").to_pylist(), part.column("first").to_pylist(), strict=True):
-                x = own.setdefault(w, [0, f])
-                x[0] += n
-                x[1] = min(x[1], f)
+            own: dict[str, list] = {}
+            for w, *x in zip(*(part.column(c).to_pylist() for c in ("words", "docs", "first", "low", "high")), strict=True):
+                if w in own:
+                    joined(own[w], x)
+                else:
+                    own[w] = x
             names = list(own)
             heads = merged([(w, own[w][0]) for w in names], similar) if len(names) > 1 else [0]
-            sums: dict[int, list[int]] = {}
+            sums: dict[int, list] = {}
             for w, h in zip(names, heads, strict=True):
-                x = sums.setdefault(h, [0, own[w][1]])
-                x[0] += own[w][0]
-                x[1] = min(x[1], own[w][1])
+                if h in sums:
+                    joined(sums[h], own[w])
+                else:
+                    sums[h] = list(own[w])
+            wide = long is not None and names[0].count(" ") + 1 >= long
             for w, h in zip(names, heads, strict=True):
-                if sums[h][0] >= least:
+                if sums[h][0] >= least or wide and sums[h][2] < sums[h][3]:
                     out[0].append(int(ids[a]))
                     out[1].append(_signed(xxhash.xxh64_intdigest(w)))
                     out[2].append(sums[h][1])
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["node", "hash", "first"])
 
-    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).mapInArrow(fold, "node long, words string, docs long, first long")
+    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text")).mapInArrow(fold, "node long, words string, docs long, first long, low long, high long")
     return folded.repartition("node").sortWithinPartitions("node").mapInArrow(grow, "node long, hash long, first long")
 
 
-def dropped(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> DataFrame:
+def dropped(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
     """doc_id, n_lines and the numbers of the dropped lines of every document, in order."""
     lines = common.stage(hashed_lines(docs), "lines")
-    drop = common.stage(recurring(docs, least, similar), "templates")
+    drop = common.stage(recurring(docs, least, similar, long), "templates")
     flat = lines.select("doc_id", F.explode("lines").alias("x")).select("doc_id", "x.*")
     hit = flat.join(drop, ["node", "hash"]).where(F.coalesce(F.col("doc_id"), F.lit(_LAST)) != F.col("first"))
     each = hit.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
@@ -194,9 +206,9 @@ def dropped(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> Da
     return out.select("l.doc_id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
 
 
-def dedup(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> DataFrame:
+def dedup(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = LONG) -> DataFrame:
     """The documents, all columns and rows, without the dropped lines; n_chars, if there, is counted anew."""
-    gone = dropped(docs, least, similar).where(F.size("dropped") > 0).groupBy("doc_id").agg(F.max("dropped").alias("_gone")).withColumnRenamed("doc_id", "_id")
+    gone = dropped(docs, least, similar, long).where(F.size("dropped") > 0).groupBy("doc_id").agg(F.max("dropped").alias("_gone")).withColumnRenamed("doc_id", "_id")
     out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
@@ -206,7 +218,7 @@ def dedup(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR) -> Data
 
 
 def op10_template_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
-    out = dropped(common.read_documents(spark, sf_dir))
+    out = dropped(common.read_documents(spark, sf_dir), long=LONG)
     return out.select("doc_id", "n_lines", F.size("dropped").cast("long").alias("n_dropped"), F.array_join(F.col("dropped").cast("array<string>"), ",").alias("dropped_lines"))
 
 

@@ -421,3 +421,11 @@ def test_large_nodes_merge_alike(monkeypatch):
     monkeypatch.setattr(line_templates, "NODE", 10**9)
     assert got == line_templates.merged(list(many.items()))
     assert 60 <= len(set(got)) < len(many) > 256
+
+
+def test_long_lines_in_two_documents(spark):
+    passage = " ".join(f"word{chr(97 + i % 26)}{chr(97 + i // 26)}" for i in range(50))
+    rows = [(1, f"first one\n{passage}"), (2, f"{passage}\nanother text"), (3, "a short line\nx"), (4, "y\na short line"), (5, f"{passage} copy\nz"), (6, f"{passage} copy\nz")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = {r.doc_id: r.text for r in line_templates.dedup(docs).collect()}
+    assert out == dict(rows) | {2: "another text"}  # copies of one document are not two texts
