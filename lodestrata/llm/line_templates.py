@@ -11,7 +11,7 @@ Each task folds the equal lines of an Arrow batch before the shuffle, so a line
 documents carry hashes of their lines only. The decisions are joined to the lines by those hashes (two of 64 bits).
 
 Defined cases: a null text is kept null and has no lines; lines without words are never dropped; the first document is the one with the smallest doc_id,
-null doc_ids last; repeated rows with one doc_id are one document; very long lines and texts are taken whole; an empty table gives an empty
+null doc_ids last, then the least hash of the text; rows with one doc_id and one text are one document, different texts with one doc_id or none are several; very long lines and texts are taken whole; an empty table gives an empty
 result; further columns pass through `dedup`.
 """
 
@@ -23,7 +23,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,9 +98,14 @@ def _lines(text: str | None) -> list[list[str]]:
     return [] if text is None else [template(x) for x in text.split("\n")]
 
 
+def text_hash() -> Column:
+    """With the doc_id it tells documents apart."""
+    return F.xxhash64(F.col("text").cast("string"))
+
+
 def hashed_lines(docs: DataFrame) -> DataFrame:
-    """doc_id, n_lines and, for each line with words, its number, node and template hash."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("n_lines", T.LongType()), T.StructField("lines", T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("hash", T.LongType())])))])
+    """doc_id, text_hash, n_lines and, for each line with words, its number, node and template hash."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_hash", T.LongType()), T.StructField("n_lines", T.LongType()), T.StructField("lines", T.ArrayType(T.StructType([T.StructField("line", T.IntegerType()), T.StructField("node", T.LongType()), T.StructField("hash", T.LongType())])))])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
@@ -115,17 +120,17 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
                         cols[2].append(_signed(xxhash.xxh64_intdigest(" ".join(words))))
                 ends.append(len(cols[0]))
             items = pa.StructArray.from_arrays([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), pa.array(cols[2], pa.int64())], ["line", "node", "hash"])
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)], names=schema.names)
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(n, pa.int64()), pa.ListArray.from_arrays(pa.array(ends, pa.int32()), items)], names=schema.names)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
+    return docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("text_hash", text_hash()).mapInArrow(run, schema)
 
 
 def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
-    """node, hash and first document of every template that recurs; long: the words from which two different texts suffice."""
+    """node, hash and first document (doc_id and text hash) of every template that recurs; long: the words from which two different texts suffice."""
 
     def joined(x: list, y: list) -> None:
         """Count, first document, and the least and greatest hash of a text: they differ if the texts do."""
-        x[:] = [x[0] + y[0], min(x[1], y[1]), min(x[2], y[2]), max(x[3], y[3])]
+        x[:] = [x[0] + y[0], *min(x[1:3], y[1:3]), min(x[3], y[3]), max(x[4], y[4])]
 
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -135,13 +140,13 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, lon
                     doc = _LAST if doc is None else doc
                     for words in {" ".join(w) for w in _lines(text) if w}:
                         if words in count:
-                            joined(count[words], [1, doc, h, h])
+                            joined(count[words], [1, doc, h, h, h])
                         else:
-                            count[words] = [1, doc, h, h]
+                            count[words] = [1, doc, h, h, h]
             keys = list(count)
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), *(pa.array([count[k][j] for k in keys], pa.int64()) for j in range(4))],
-                names=["node", "words", "docs", "first", "low", "high"],
+                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), *(pa.array([count[k][j] for k in keys], pa.int64()) for j in range(5))],
+                names=["node", "words", "docs", "first", "first_hash", "low", "high"],
             )
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,12 +170,12 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, lon
         start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
         total = np.add.reduceat(number, start)
         end = np.r_[start[1:], len(ids)]
-        out: tuple[list, list, list] = ([], [], [])
+        out: tuple[list, list, list, list] = ([], [], [], [])
         busy = total >= (least if long is None else min(least, 2))
         for a, b in zip(start[busy].tolist(), end[busy].tolist(), strict=True):
             part = table.slice(a, b - a)
             own: dict[str, list] = {}
-            for w, *x in zip(*(part.column(c).to_pylist() for c in ("words", "docs", "first", "low", "high")), strict=True):
+            for w, *x in zip(*(part.column(c).to_pylist() for c in ("words", "docs", "first", "first_hash", "low", "high")), strict=True):
                 if w in own:
                     joined(own[w], x)
                 else:
@@ -185,31 +190,37 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, lon
                     sums[h] = list(own[w])
             wide = long is not None and names[0].count(" ") + 1 >= long
             for w, h in zip(names, heads, strict=True):
-                if sums[h][0] >= least or wide and sums[h][2] < sums[h][3]:
+                if sums[h][0] >= least or wide and sums[h][3] < sums[h][4]:
                     out[0].append(int(ids[a]))
                     out[1].append(_signed(xxhash.xxh64_intdigest(w)))
                     out[2].append(sums[h][1])
-        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["node", "hash", "first"])
+                    out[3].append(sums[h][2])
+        return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["node", "hash", "first", "first_hash"])
 
-    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", F.xxhash64("text")).mapInArrow(fold, "node long, words string, docs long, first long, low long, high long")
-    return folded.repartition("node").sortWithinPartitions("node").mapInArrow(grow, "node long, hash long, first long")
+    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", text_hash()).mapInArrow(fold, "node long, words string, docs long, first long, first_hash long, low long, high long")
+    return folded.repartition("node").sortWithinPartitions("node").mapInArrow(grow, "node long, hash long, first long, first_hash long")
 
 
-def dropped(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
-    """doc_id, n_lines and the numbers of the dropped lines of every document, in order."""
+def _dropped(docs: DataFrame, least: int, similar: float, long: int | None) -> DataFrame:
+    """doc_id, text_hash, n_lines and the numbers of the dropped lines of every document, in order."""
     lines = common.stage(hashed_lines(docs), "lines")
     drop = common.stage(recurring(docs, least, similar, long), "templates")
-    flat = lines.select("doc_id", F.explode("lines").alias("x")).select("doc_id", "x.*")
-    hit = flat.join(drop, ["node", "hash"]).where(F.coalesce(F.col("doc_id"), F.lit(_LAST)) != F.col("first"))
-    each = hit.groupBy("doc_id").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
-    out = lines.select("doc_id", "n_lines").alias("l").join(each.alias("e"), F.col("l.doc_id").eqNullSafe(F.col("e.doc_id")), "left")
-    return out.select("l.doc_id", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+    flat = lines.select("doc_id", "text_hash", F.explode("lines").alias("x")).select("doc_id", "text_hash", "x.*")
+    hit = flat.join(drop, ["node", "hash"]).where((F.coalesce(F.col("doc_id"), F.lit(_LAST)) != F.col("first")) | (F.col("text_hash") != F.col("first_hash")))
+    each = hit.groupBy("doc_id", "text_hash").agg(F.array_sort(F.collect_set("line")).alias("dropped"))
+    out = lines.select("doc_id", "text_hash", "n_lines").alias("l").join(each.alias("e"), F.col("l.doc_id").eqNullSafe(F.col("e.doc_id")) & (F.col("l.text_hash") == F.col("e.text_hash")), "left")
+    return out.select("l.doc_id", "l.text_hash", "n_lines", F.coalesce("dropped", F.array().cast("array<int>")).alias("dropped"))
+
+
+def dropped(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
+    """doc_id, n_lines and the numbers of the dropped lines of every document, in order."""
+    return _dropped(docs, least, similar, long).drop("text_hash")
 
 
 def dedup(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = LONG) -> DataFrame:
     """The documents, all columns and rows, without the dropped lines; n_chars, if there, is counted anew."""
-    gone = dropped(docs, least, similar, long).where(F.size("dropped") > 0).groupBy("doc_id").agg(F.max("dropped").alias("_gone")).withColumnRenamed("doc_id", "_id")
-    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")), "left")
+    gone = _dropped(docs, least, similar, long).where(F.size("dropped") > 0).groupBy(F.col("doc_id").alias("_id"), F.col("text_hash").alias("_hash")).agg(F.max("dropped").alias("_gone"))
+    out = docs.join(gone, F.col("doc_id").eqNullSafe(F.col("_id")) & (text_hash() == F.col("_hash")), "left")
     kept = F.array_join(F.filter(F.split("text", "\n"), lambda x, i: ~F.array_contains(F.col("_gone"), i)), "\n")
     out = out.withColumn("text", F.when(F.col("_gone").isNull(), F.col("text")).otherwise(kept))
     if "n_chars" in docs.columns:

@@ -429,3 +429,12 @@ def test_long_lines_in_two_documents(spark):
     docs = spark.createDataFrame(rows, "doc_id long, text string")
     out = {r.doc_id: r.text for r in line_templates.dedup(docs).collect()}
     assert out == dict(rows) | {2: "another text"}  # copies of one document are not two texts
+
+
+def test_lines_of_documents_without_an_id(spark):
+    rows = [(1, "common line here\na"), (2, "common line here\nb"), (None, "common line here\nc"), (None, "unique line\nd"), (None, "e\ncommon line here"), (7, "f\ncommon line here"), (7, "other\ng")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    out = Counter(tuple(r) for r in line_templates.dedup(docs).collect())
+    assert out == Counter([rows[0], (2, "b"), (None, "c"), rows[3], (None, "e"), (7, "f"), rows[6]])
+    alone = spark.createDataFrame([(None, f"common line here\n{x}") for x in "abc"], "doc_id long, text string")
+    assert sum("common" in r.text for r in line_templates.dedup(alone).collect()) == 1
