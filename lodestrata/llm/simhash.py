@@ -18,11 +18,12 @@ Near copies of a lower similarity differ in more bits than a covering code reach
 (`near_components`, `dedup`) the fingerprint has 128 bits, and the same covering is laid over three runs of 46 of them; two
 fingerprints of which any run meets at an anchor are compared over all 128 bits. The distance is exact there, the meeting is not:
 the chance to meet is estimated at 0.98 for texts of similarity 0.8 (Jaccard, five-word shingles), where they differ in 19 bits on average,
-and tends to 1 above. NEAR_THRESHOLD leaves room for the spread of that number, so many pairs of similarity
-0.6 to 0.8 are linked too; links are not verified on the shingles.
+and tends to 1 above. NEAR_THRESHOLD leaves room for the spread of that number, so what meets is only a candidate: within the components of these links
+every two sets of shingles are compared (by 64-bit hashes of the shingles), those of similarity SIMILAR or more are linked, and their components are
+the groups of near copies. Equal sets are folded before; a group of candidates is decided in one task, which holds the hashes of its different sets.
 
 Defined cases: a null text counts as empty; a text without words has fingerprint 0 and is linked like any other; very long
-texts are hashed in pieces; repeated rows share a component; a component whose doc_ids are all null has component_id null,
+texts are hashed in pieces; repeated rows share a component; for near copies texts without words are only like each other, and different texts that share a doc_id or have none are different documents; a component whose doc_ids are all null has component_id null,
 otherwise nulls do not count for the smallest; an empty table gives an empty result; further columns are ignored (`dedup` passes them through).
 """
 
@@ -34,7 +35,7 @@ from functools import cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql import window as W
@@ -44,7 +45,9 @@ from . import common
 THRESHOLD = 2
 SHINGLE = 5
 #: For near copies: the most differing bits of 128, and the reach beyond the covering radius in each run.
-NEAR_THRESHOLD, NEAR_REACH = 24, 2
+NEAR_THRESHOLD, NEAR_REACH = 32, 2
+#: The least Jaccard similarity of near copies' shingles.
+SIMILAR = 0.8
 _GENERATOR = 0xC75  # fixed value: x^11 + x^10 + x^6 + x^5 + x^4 + x^2 + 1, the Golay code's generator polynomial
 _BITS, _MESSAGES, _RADIUS = 23, 4096, 3
 _PIECE = 1 << 18
@@ -228,11 +231,11 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2, reac
     return spreaded.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(meet, "a long, b long")
 
 
-def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
-    """128 bits: bit set if it is set in over half of the different shingles' hashes; the smallest hash decides ties, which are common in short texts."""
+def shingle_hashes(text: str, words: int = SHINGLE) -> np.ndarray:
+    """The hashes of the different shingles, two big-endian numbers each, the smallest first."""
     tokens = text.encode("utf-8", "surrogatepass").lower().split()
     if not tokens:
-        return bytes(16)
+        return np.zeros((0, 2), ">u8")
     whole = b" ".join(tokens)
     ends = np.cumsum(np.fromiter(map(len, tokens), np.int64, len(tokens)) + 1) - 1
     del tokens
@@ -244,7 +247,12 @@ def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
         parts.append(b"".join([xxhash.xxh3_128_digest(whole[a:b], 42) for a, b in spans]))
     hashes = np.frombuffer(b"".join(parts), ">u8").reshape(-1, 2).astype(np.uint64)
     hashes = hashes[np.lexsort((hashes[:, 1], hashes[:, 0]))]
-    hashes = hashes[np.r_[True, (hashes[1:] != hashes[:-1]).any(1)]].astype(">u8")  # each shingle once, the smallest hash first
+    return hashes[np.r_[True, (hashes[1:] != hashes[:-1]).any(1)]].astype(">u8")
+
+
+def _wide(hashes: np.ndarray) -> bytes:
+    if not len(hashes):
+        return bytes(16)
     ones = np.zeros(128, np.int64)
     for i in range(0, len(hashes), _PART):
         ones += np.unpackbits(hashes[i : i + _PART].view(np.uint8), axis=1).sum(0, dtype=np.int64)
@@ -252,16 +260,35 @@ def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
     return np.packbits(ones * 2 + tie > len(hashes)).tobytes()
 
 
+def wide_fingerprint(text: str, words: int = SHINGLE) -> bytes:
+    """128 bits: bit set if it is set in over half of the different shingles' hashes; the smallest hash decides ties, which are common in short texts."""
+    return _wide(shingle_hashes(text, words))
+
+
+def _key(hashes: np.ndarray) -> bytes:
+    """128 bits that tell sets of shingles apart."""
+    return xxhash.xxh3_128_digest(np.ascontiguousarray(hashes).tobytes(), 7)
+
+
+def text_hash() -> Column:
+    """With the doc_id it tells documents apart."""
+    return F.unhex(F.md5(common.text_or_empty().cast("binary")))
+
+
 def wide_fingerprints(docs: DataFrame, words: int = SHINGLE) -> DataFrame:
-    """doc_id and the 128-bit fp of every document."""
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("fp", T.BinaryType(), False)])
+    """doc_id, text_hash, the 128-bit fp and the key of the set of shingles of every document."""
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("text_hash", T.BinaryType()), T.StructField("fp", T.BinaryType(), False), T.StructField("key", T.BinaryType(), False)])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in common.slices(batches):
-            fp = [wide_fingerprint(t or "", words) for t in batch.column("_text").to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fp, pa.binary())], names=schema.names)
+            fp, key = [], []
+            for t in batch.column("_text").to_pylist():
+                hashes = shingle_hashes(t or "", words)
+                fp.append(_wide(hashes))
+                key.append(_key(hashes))
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_hash"), pa.array(fp, pa.binary()), pa.array(key, pa.binary())], names=schema.names)
 
-    return docs.select("doc_id", F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
+    return docs.select("doc_id", text_hash().alias("text_hash"), F.col("text").cast("string").alias("_text")).mapInArrow(run, schema)
 
 
 def _runs(fp: np.ndarray) -> list[np.ndarray]:
@@ -406,14 +433,100 @@ def components(docs: DataFrame, words: int = SHINGLE, threshold: int = THRESHOLD
     return _components(common.stage(fingerprints(docs, words), "fingerprints"), lambda distinct: links(distinct, threshold, blocks, reach))
 
 
-def near_components(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH) -> DataFrame:
+def similar_roots(sets: list[np.ndarray], similar: float = SIMILAR) -> list[int]:
+    """For each of the different sets (hashes, no repeats) the place of the first in its component; linked are sets of Jaccard similarity `similar` or more.
+
+    One component at a time from its first set outwards. An index from hash to the sets not yet taken finds what shares anything with
+    a set and how much, so every pair is decided exactly and no list of pairs is made; it shrinks as sets are taken.
+    """
+    n = len(sets)
+    root, size = np.full(n, -1), np.fromiter(map(len, sets), np.int64, n)
+    value = np.concatenate([np.zeros(0, np.uint64), *sets])
+    owner = np.repeat(np.arange(n, dtype=np.int32), size)
+    order = np.argsort(value, kind="stable")
+    value, owner = value[order], owner[order]
+    free = int(size.sum())
+    for seed in range(n):
+        if root[seed] >= 0:
+            continue
+        root[seed], front = seed, [seed]
+        free -= int(size[seed])
+        while front and free:
+            if 2 * free < len(value):
+                left = root[owner] < 0
+                value, owner = value[left], owner[left]
+            own = sets[front.pop()]
+            low, high = np.searchsorted(value, own), np.searchsorted(value, own, "right")
+            _, at = _ragged(high - low)
+            shared = np.bincount(owner[np.repeat(low, high - low) + at])
+            near = np.flatnonzero(shared)
+            near = near[root[near] < 0]
+            near = near[shared[near] >= similar * (size[near] + len(own) - shared[near])]
+            root[near] = seed
+            free -= int(size[near].sum())
+            front += near.tolist()
+    return root.tolist()
+
+
+def verified(docs: DataFrame, rows: DataFrame, words: int, similar: float) -> DataFrame:
+    """key and root of every set of shingles that is not alone in its group of candidates; root is one key of each component of verified links.
+
+    rows: doc_id, text_hash, key and the group of every document. Of each set one document's shingles are read.
+    """
+    one = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
+    sets = rows.groupBy("group", "key").agg(one)
+    several = sets.groupBy("group").agg(F.count("*").alias("n")).where("n > 1").select("group")
+    chosen = sets.join(several, "group").select("group", "key", F.col("one.doc_id").alias("_id"), F.col("one.text_hash").alias("_hash"))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("_text"), text_hash().alias("text_hash"))
+    texts = texts.join(chosen, F.col("doc_id").eqNullSafe(F.col("_id")) & (F.col("text_hash") == F.col("_hash"))).select("group", "key", "_text")
+
+    def shingled(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in common.slices(batches):
+            own = [np.sort(shingle_hashes(t or "", words)[:, 0].astype(np.uint64)).tobytes() for t in batch.column("_text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("group"), batch.column("key"), pa.array(own, pa.binary())], names=["group", "key", "hashes"])
+
+    def decide(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, own = None, {}
+        for batch in batches:
+            for g, k, h in zip(batch.column("group"), batch.column("key"), batch.column("hashes"), strict=True):
+                g, k = g.as_py(), k.as_py()
+                if g != group:
+                    if own:
+                        yield decided(own)
+                    group, own = g, {}
+                if k not in own:  # repeated rows
+                    own[k] = np.frombuffer(h.as_py(), np.uint64)
+        if own:
+            yield decided(own)
+
+    def decided(own: dict[bytes, np.ndarray]) -> pa.RecordBatch:
+        keys = list(own)
+        roots = similar_roots(list(own.values()), similar)
+        return pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array([keys[i] for i in roots], pa.binary())], names=["key", "root"])
+
+    hashed = texts.mapInArrow(shingled, "group binary, key binary, hashes binary")
+    return hashed.repartition("group").sortWithinPartitions("group", "key").mapInArrow(decide, "key binary, root binary")
+
+
+def _near_rows(docs: DataFrame, words: int, threshold: int, reach: int, similar: float) -> DataFrame:
+    """doc_id, text_hash, fp and root of every document; root tells the components of verified links apart."""
+    fps = common.stage(wide_fingerprints(docs, words), "fingerprints")
+    met = common.connected_components(common.stage(wide_links(common.stage(fps.select("fp").distinct(), "distinct"), threshold, reach), "links"))
+    rows = fps.join(met.select(F.col("node").alias("fp"), F.col("root").alias("group")), "fp", "left").withColumn("group", F.coalesce("group", "fp"))
+    known = common.stage(verified(docs, rows, words, similar).withColumnRenamed("key", "_key"), "verified")
+    return fps.join(known, F.col("key") == F.col("_key"), "left").select("doc_id", "text_hash", "fp", F.coalesce("root", "key").alias("root"))
+
+
+def near_components(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH, similar: float = SIMILAR) -> DataFrame:
     """doc_id, the 128-bit fp and component_id of every document, for near copies of similarity 0.8 or more."""
-    return _components(common.stage(wide_fingerprints(docs, words), "fingerprints"), lambda distinct: wide_links(distinct, threshold, reach))
+    rows = _near_rows(docs, words, threshold, reach, similar)
+    lowest = rows.groupBy("root").agg(F.min("doc_id").alias("component_id"))
+    return rows.join(lowest, "root").select("doc_id", "fp", "component_id")
 
 
-def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH) -> DataFrame:
+def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH, similar: float = SIMILAR) -> DataFrame:
     """The documents, all columns, of which one of each group of near copies stays: the one with the smallest doc_id (of repeated rows, one)."""
-    ids = near_components(docs, words, threshold, reach)
+    ids = near_components(docs, words, threshold, reach, similar)
     stay = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
     kept = docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
     once = F.row_number().over(W.Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text"))

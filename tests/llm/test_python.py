@@ -438,3 +438,38 @@ def test_lines_of_documents_without_an_id(spark):
     assert out == Counter([rows[0], (2, "b"), (None, "c"), rows[3], (None, "e"), (7, "f"), rows[6]])
     alone = spark.createDataFrame([(None, f"common line here\n{x}") for x in "abc"], "doc_id long, text string")
     assert sum("common" in r.text for r in line_templates.dedup(alone).collect()) == 1
+
+
+# --- verified near copies
+
+
+def test_similar_roots():
+    rng = random.Random(5)
+    sets = []
+    for _ in range(30):
+        own = set(rng.sample(range(400), rng.randint(1, 60)))
+        for _ in range(12):
+            sets.append(frozenset(own))
+            own = {x if rng.random() < 0.95 else rng.randrange(400) for x in own}
+    sets = list(dict.fromkeys([*sets, frozenset()]))
+    root = list(range(len(sets)))
+    for i in range(len(sets)):
+        for j in range(i):
+            if sets[i] | sets[j] and len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and root[i] != root[j]:
+                a, b = sorted((root[i], root[j]))
+                root = [a if x == b else x for x in root]
+    assert simhash.similar_roots([np.array(sorted(x), np.uint64) for x in sets]) == root
+    assert 30 < len(set(root)) < len(sets)
+
+
+def test_near_copies_are_verified(spark):
+    """Texts whose fingerprints are near but that share under 0.8 of their shingles stay; chains end where a link is below it."""
+    base = [f"w{i}" for i in range(200)]
+    texts = [" ".join(base), " ".join(base[:150] + [f"v{i}" for i in range(50)]), " ".join(base[:-2] + ["x"]), " ".join(base[:170] + [f"y{i}" for i in range(10)])]
+    own = [shingles(t) for t in texts]
+    like = lambda i, j: len(own[i] & own[j]) / len(own[i] | own[j])
+    assert 0.5 < like(0, 1) < 0.8 < like(0, 2)
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    root = {r.doc_id: r.component_id for r in simhash.near_components(df, threshold=60, reach=6).collect()}
+    assert (root[1], root[2]) == (1, 0)
+    assert root[3] == (0 if max(like(3, 0), like(3, 2)) >= 0.8 else 3)
