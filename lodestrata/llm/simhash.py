@@ -525,12 +525,12 @@ def near_components(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR
 
 
 def dedup(docs: DataFrame, words: int = SHINGLE, threshold: int = NEAR_THRESHOLD, reach: int = NEAR_REACH, similar: float = SIMILAR) -> DataFrame:
-    """The documents, all columns, of which one of each group of near copies stays: the one with the smallest doc_id (of repeated rows, one)."""
-    ids = near_components(docs, words, threshold, reach, similar)
-    stay = ids.where(F.col("doc_id").eqNullSafe(F.col("component_id"))).select("doc_id").distinct()
-    kept = docs.join(stay.withColumnRenamed("doc_id", "_stay"), F.col("doc_id").eqNullSafe(F.col("_stay")), "left_semi")
-    once = F.row_number().over(W.Window.partitionBy("doc_id").orderBy(F.length("text").desc(), "text"))
-    return kept.withColumn("_once", once).where("_once = 1").drop("_once")
+    """The documents, all columns, of which one of each group of near copies stays: the one with the smallest doc_id, nulls last, then the least hash of the text (of repeated rows, one)."""
+    least = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "text_hash")).alias("one")
+    stay = _near_rows(docs, words, threshold, reach, similar).groupBy("root").agg(least).select(F.col("one.doc_id").alias("_stay"), F.col("one.text_hash").alias("_hash"))
+    kept = docs.withColumn("_own", text_hash()).join(stay, F.col("doc_id").eqNullSafe(F.col("_stay")) & (F.col("_own") == F.col("_hash")), "left_semi")
+    once = F.row_number().over(W.Window.partitionBy("doc_id", "_own").orderBy("text"))
+    return kept.withColumn("_once", once).where("_once = 1").drop("_once", "_own")
 
 
 def op2_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -473,3 +473,10 @@ def test_near_copies_are_verified(spark):
     root = {r.doc_id: r.component_id for r in simhash.near_components(df, threshold=60, reach=6).collect()}
     assert (root[1], root[2]) == (1, 0)
     assert root[3] == (0 if max(like(3, 0), like(3, 2)) >= 0.8 else 3)
+
+
+def test_near_dedup_without_ids(spark):
+    words = lambda s: " ".join(f"{s}{i}" for i in range(40))
+    rows = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("c")), (3, words("c")), (7, words("d")), (7, words("e")), (7, words("e")), (None, None), (None, "")]
+    out = Counter((r.doc_id, r.text or "") for r in simhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+    assert out == Counter([rows[0], rows[1], rows[4], rows[5], rows[6], (None, "")])
