@@ -42,9 +42,9 @@ _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _CHAIN = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
 _IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
-_NUMBER = re.compile(r"[ :.#=]{1,4}([0-9][0-9 -]{4,30}[0-9])")
+_NUMBER = re.compile(r"[ :.#=]{1,4}([0-9][0-9 -]{4,}[0-9])")
 _IBAN_AFTER = re.compile(r"[ :=]{1,3}")
-_SECRET = re.compile(r"""\s{0,2}[:=]\s{0,2}(?:"([^"\s]{8,200})"|'([^'\s]{8,200})'|([A-Za-z0-9+/_.-]{16,200}))""")
+_SECRET = re.compile(r"""\s{0,2}[:=]\s{0,2}(?:"([^"\s]{8,})"|'([^'\s]{8,})'|([A-Za-z0-9+/_.-]{16,}))""")
 _URL = re.compile(r"[^\s<>\"']+")
 
 

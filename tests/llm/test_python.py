@@ -480,3 +480,9 @@ def test_near_dedup_without_ids(spark):
     rows = [(None, words("a")), (None, words("b")), (None, words("b")), (None, words("c")), (3, words("c")), (7, words("d")), (7, words("e")), (7, words("e")), (None, None), (None, "")]
     out = Counter((r.doc_id, r.text or "") for r in simhash.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
     assert out == Counter([rows[0], rows[1], rows[4], rows[5], rows[6], (None, "")])
+
+
+@pytest.mark.parametrize(("before", "value", "after"), [('token = "', "k3Y-" * 90, '" end'), ("secret: '", "k3Y," * 90, "' end"), ("api_key=", "eyJh.bGc_" * 60, " end"), ("account no. ", "1234 5678 " * 6 + "12", " end")])
+def test_long_secrets_and_accounts(before, value, after):
+    found = [s for s in pii.spans(before + value + after, pii.automaton()) if s[0] in ("secret", "account")]
+    assert [s[1:] for s in found] == [(len(before), len(before) + len(value))]
