@@ -404,7 +404,7 @@ def _literal(expr: Column, value) -> Column:
 @query("page_classes_documents")
 def page_classes_documents(spark, sf_dir):
     docs = _read(spark, sf_dir, "documents").select("doc_id", F.col("text"))
-    return docs.select("doc_id", classify.page_property_type([F.col("text")]).alias("property_type"), classify.page_listing_type([F.col("text")]).alias("listing_type"), location.candidate(F.left("text", F.lit(140))).alias("place"), numbers.coordinate(F.lit("33,5"), 90).cast("double").alias("x"))
+    return docs.select("doc_id", classify.page_property_type([F.col("text")]).alias("property_type"), classify.page_listing_type([F.col("text")]).alias("listing_type"), location.candidate(F.col("text")).alias("place"), numbers.coordinate(F.col("text"), 90).cast("double").alias("x"))
 
 
 @query("tokens_with_luxury_words", f"select doc_id, regexp_matches(text, '(?i)(^|[^\\pL\\pN_])(luxe|haut +standing|prestige|premium|piscine|golf|vue +mer|front +mer|marina|neuf|résidence +fermée|residence +fermee)([^\\pL\\pN_]|$)') as luxury from documents", base="")

@@ -11,6 +11,7 @@ from lodestrata import schemas
 from lodestrata.functions import classify, location, numbers, text, titles, url
 from lodestrata.operators import clean as cleaning
 from lodestrata.operators import quality, report
+from lodestrata.plans import catalog
 from lodestrata.sources import listings
 
 YEAR = 2026
@@ -182,3 +183,24 @@ def test_failed_checks_raise(spark):
     with pytest.raises(AssertionError, match="positive_price=2"):
         quality.assert_passed(rows)
     quality.assert_passed(rows.withColumn("passed", F.lit(True)))
+
+
+def test_page_classes_read_whole_texts(spark, tmp_path):
+    long = "x" * 65
+    texts = ["33,5", None, "", "Casablanca, Maarif", f"{long}, {long}y, Rabat", ", ".join(["z" * 71] * 3 + ["Rabat", "Agdal"]), "mot " * 60 + "appartements dans Casablanca, Maarif", "z" * 139 + "abc | Rabat - Agdal"]
+
+    def place(t):
+        if "appartements dans " in t:
+            return tuple(t.split("appartements dans ")[1].split(", "))
+        pieces = [p for p in (x.strip(" ,-") for x in t.replace("|", ",").replace(" - ", ",").split(",")) if p and len(p) <= 70]
+        first, second = [*pieces, None, None][:2]
+        ok = first is not None and len(first) <= 60
+        return (first if ok else None, second if ok and second is not None and len(second) <= 60 else None)
+
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in catalog.page_classes_documents(spark, str(tmp_path)).collect()}
+    for i, t in enumerate(texts):
+        if t and t != "33,5":
+            assert tuple(got[i].place) == place(t), t
+    assert tuple(got[6].place) == ("Casablanca", "Maarif")
+    assert [got[i].x for i in range(len(texts))] == [33.5] + [None] * (len(texts) - 1)
