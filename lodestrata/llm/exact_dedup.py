@@ -5,8 +5,8 @@ partial aggregation folds copies before the shuffle, so that a group with a thir
 classes are joined back to the rows by hash; where one hash has several classes (a collision), by the bytes as well.
 
 Defined cases: a null text counts as empty, and all blank texts are one class; of one class the row with the most code points in
-its original text stays, then the smallest doc_id (a null doc_id counts as larger than any other); repeated rows with the keeper's doc_id and
-length are one document stored twice and all carry kept = true; an empty table gives an empty result.
+its original text stays, then the smallest doc_id (a null doc_id counts as larger than any other); of repeated rows with the keeper's doc_id and length, or of the longest rows
+of a class without ids, exactly one carries kept = true (the result has no column that tells them apart); an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -56,7 +56,12 @@ def dedup(docs: DataFrame, hash_of=content_hash) -> DataFrame:
     else:
         joined = rows.join(small.drop("text_sha256"), "h")
     kept = F.coalesce(F.col("doc_id"), F.lit(_TOP)).eqNullSafe(F.col("keep_id")) & (F.col("points") == F.col("most"))
-    return joined.select("doc_id", F.when(F.col("keep_id") < _TOP, F.col("keep_id")).alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
+    out = joined.select("doc_id", F.when(F.col("keep_id") < _TOP, F.col("keep_id")).alias("keep_id"), "group_size", kept.alias("kept"), "text_sha256")
+    out = common.stage(out.withColumn("row", F.monotonically_increasing_id()), "rows")
+    # a class has one keeper: where several rows are alike, the one with the smallest number
+    ties = out.where("kept").groupBy("text_sha256").agg(F.count("*").alias("n"), F.min("row").alias("one")).where("n > 1").select("text_sha256", "one")
+    out = out.join(common.stage(ties, "ties"), "text_sha256", "left")
+    return out.select("doc_id", "keep_id", "group_size", (F.col("kept") & (F.col("row") == F.coalesce("one", "row"))).alias("kept"), "text_sha256")
 
 
 def op5_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -59,6 +59,13 @@ def test_exact_dedup(edge, nothing, sample):
     assert exact_dedup.dedup(nothing).count() == 0
 
 
+def test_exact_dedup_keeps_one_row(spark):
+    rows = [(1, "a b"), (1, "a b"), (1, "ab"), (2, "a b"), (None, "c"), (None, "c"), (None, "c "), (None, "c "), (5, "d")]
+    out = exact_dedup.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert Counter((r.doc_id, r.keep_id, r.group_size) for r in out if r.kept) == Counter([(1, 1, 4), (None, None, 4), (5, 5, 1)])
+    assert len(out) == len(rows)
+
+
 def test_exact_dedup_survives_collisions(edge):
     weak = lambda c: F.unhex(F.substring(F.md5(c.cast("binary")), 1, 0))  # noqa: E731  every text has the same hash
     assert Counter(tuple(r) for r in exact_dedup.dedup(edge, weak).collect()) == brute_exact(edge.collect())
