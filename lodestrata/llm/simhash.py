@@ -394,7 +394,7 @@ def wide_links(distinct: DataFrame, threshold: int, reach: int) -> DataFrame:
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         anchor, fp = np.zeros(0, np.int64), np.zeros((0, 2), np.uint64)
         found = (fp, fp)  # all edges of the task, contracted whenever they have grown: groups of copies meet at many anchors
-        for batch in batches:
+        for batch in common.slices(batches, 1024):
             if not batch.num_rows:
                 continue
             packed = batch.column("packed").to_pylist()
