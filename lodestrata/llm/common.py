@@ -2,35 +2,83 @@
 
 from __future__ import annotations
 
+import atexit
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager, suppress
+from functools import cache
 
 import pyarrow as pa
+from py4j.protocol import Py4JError
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The word separators of every operator here, as the inside of a character class (Java, Python and RE2 read it alike).
 BLANKS = r"\x20\x09-\x0D"
+#: Folders of the scopes that are open, outermost first.
+_scopes: list[str] = []
+
+
+def _remove(path) -> None:
+    """Deletes a folder (a Hadoop path with its file system)."""
+    where, system = path
+    with suppress(Py4JError):  # at the end of the process the JVM may be gone already
+        system.delete(where, True)
+
+
+@cache
+def _folder(application: str, base: str) -> str:
+    """The application's own folder in the shared one; it goes when the driver's Python ends."""
+    spark = SparkSession.active()
+    folder = f"{base.rstrip('/')}/lodestrata-{application}"
+    where = spark._jvm.org.apache.hadoop.fs.Path(folder)
+    atexit.register(_remove, (where, where.getFileSystem(spark._jsc.hadoopConfiguration())))
+    return folder
+
+
+@cache
+def _own_dir(application: str) -> str:
+    return "file://" + tempfile.mkdtemp(prefix="lodestrata-")
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, or one of our own where that is unset (tests)."""
+    """The folder for staged tables, within the one that driver and executors share: spark.checkpoint.dir.
+
+    Where that is unset, a local session (tests) gets a folder of its own; on a cluster it is an error, as no local folder would do.
+    """
+    context = spark.sparkContext
     base = spark.conf.get("spark.checkpoint.dir", None)
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="lodestrata-")
-        spark.conf.set("spark.checkpoint.dir", base)
-    return base.rstrip("/")
+    if not base and context.master.partition("[")[0] != "local":
+        raise ValueError("spark.checkpoint.dir must name a folder that driver and executors share")
+    return _folder(context.applicationId, base or _own_dir(context.applicationId))
+
+
+def exists(spark: SparkSession, path: str) -> bool:
+    where = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return where.getFileSystem(spark._jsc.hadoopConfiguration()).exists(where)
 
 
 def stage(df: DataFrame, name: str) -> DataFrame:
     """Write a frame to the shared folder and read it again: cuts the lineage, survives the loss of executors."""
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/stage-{name}-{uuid.uuid4().hex}"
+    path = "/".join([shared_dir(spark), *_scopes, f"stage-{name}-{uuid.uuid4().hex}"])
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def scope(spark: SparkSession) -> Iterator[None]:
+    """Tables staged in the body are deleted at its end; what is still needed must have been written elsewhere."""
+    _scopes.append(f"scope-{uuid.uuid4().hex}")
+    where = spark._jvm.org.apache.hadoop.fs.Path("/".join([shared_dir(spark), *_scopes]))
+    try:
+        yield
+    finally:
+        _scopes.pop()
+        _remove((where, where.getFileSystem(spark._jsc.hadoopConfiguration())))
+
+
 def slices(batches: Iterator[pa.RecordBatch], rows: int = 512) -> Iterator[pa.RecordBatch]:
     """The batches in parts of so many rows, so that few texts at a time are Python objects."""
     for batch in batches:
