@@ -2,10 +2,11 @@
 
 A line is split into words; a word with a digit is a variable field and becomes <*>. The parse tree has a fixed depth: first the number of
 words, then the leading words; its nodes hold templates. Within a node, templates of which at least `similar` of the places agree
-are one (the differing places generalise to <*>); they are taken in a fixed order, most documents first, so the result does not depend on the
-order of rows. A node with many templates looks its groups up by words at their places, with the same result. A template
+are one (the differing places generalise to <*>); they are taken in a fixed order, those that recur by themselves first, then by their words, so the
+result depends neither on the order of rows nor on repeated ones. A node with many templates looks its groups up by words at their places, with the same result. A template
 that occurs in `least` or more documents recurs, and one of `long` or more words also if it occurs in two different texts (copies of one
-document are left to the dedup of documents); its lines are dropped from every document but the first.
+document are left to the dedup of documents); its lines are dropped from every document but the first. Documents are counted, not rows or templates:
+a group carries the first few different documents that hold it, which is enough to decide exactly and has a fixed size.
 
 Each task folds the equal lines of an Arrow batch before the shuffle, so a line that a third of all documents hold arrives as one row per batch, and
 documents carry hashes of their lines only. The decisions are joined to the lines by those hashes (two of 64 bits).
@@ -18,7 +19,8 @@ result; further columns pass through `dedup`.
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator
+from collections.abc import Collection, Iterator
+from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
@@ -56,7 +58,7 @@ def node(words: list[str], depth: int = DEPTH) -> int:
 
 
 def merged(templates: list[tuple[str, int]], similar: float = SIMILAR) -> list[int]:
-    """For each distinct template of a node, with its count of documents, the place of its group's first in order.
+    """For each distinct template of a node, with its count of documents (up to the number that makes it recur), the place of its group's first in order.
 
     A template that agrees with a group in the needed places differs in at most `spare` of its own, so of any spare + 1 of its places one
     agrees: in a large node only the groups found by the rarest such places are compared, and none is lost.
@@ -94,6 +96,34 @@ def merged(templates: list[tuple[str, int]], similar: float = SIMILAR) -> list[i
     return out
 
 
+@dataclass(frozen=True, slots=True)
+class Holders:
+    """The documents (id, hash of the text) that hold a template: the first `least` different ones in order, and the least and greatest hash of all their texts.
+
+    Unions of these are exact: whether there are `least` different documents, which is the first, and whether there are two different texts.
+    """
+
+    docs: tuple[tuple[int, int], ...]
+    low: int
+    high: int
+
+    @staticmethod
+    def of(docs: Collection[tuple[int, int]], least: int) -> Holders:
+        hashes = [h for _, h in docs]
+        return Holders(tuple(sorted(docs)[:least]), min(hashes), max(hashes))
+
+    def with_(self, other: Holders, least: int) -> Holders:
+        return Holders(tuple(sorted({*self.docs, *other.docs})[:least]), min(self.low, other.low), max(self.high, other.high))
+
+    def packed(self) -> bytes:
+        return np.array(self.docs, "<i8").tobytes()
+
+    @staticmethod
+    def unpacked(docs: bytes, low: int, high: int) -> Holders:
+        flat = np.frombuffer(docs, "<i8").reshape(-1, 2).tolist()
+        return Holders(tuple(map(tuple, flat)), low, high)
+
+
 def _lines(text: str | None) -> list[list[str]]:
     return [] if text is None else [template(x) for x in text.split("\n")]
 
@@ -128,25 +158,23 @@ def hashed_lines(docs: DataFrame) -> DataFrame:
 def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, long: int | None = None) -> DataFrame:
     """node, hash and first document (doc_id and text hash) of every template that recurs; long: the words from which two different texts suffice."""
 
-    def joined(x: list, y: list) -> None:
-        """Count, first document, and the least and greatest hash of a text: they differ if the texts do."""
-        x[:] = [x[0] + y[0], *min(x[1:3], y[1:3]), min(x[3], y[3]), max(x[4], y[4])]
-
     def fold(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            count: dict[str, list] = {}
+            holders: dict[str, tuple[int, int] | set[tuple[int, int]]] = {}  # most lines occur in one document: no set for these
             for part in common.slices(iter((batch,))):
                 for doc, text, h in zip(part.column("doc_id").to_pylist(), part.column("text").to_pylist(), part.column("text_hash").to_pylist(), strict=True):
-                    doc = _LAST if doc is None else doc
+                    me = (_LAST if doc is None else doc, h)
                     for words in {" ".join(w) for w in _lines(text) if w}:
-                        if words in count:
-                            joined(count[words], [1, doc, h, h, h])
-                        else:
-                            count[words] = [1, doc, h, h, h]
-            keys = list(count)
+                        known = holders.setdefault(words, me)
+                        if isinstance(known, set):
+                            known.add(me)
+                        elif known != me:
+                            holders[words] = {known, me}
+            keys = list(holders)
+            own = [Holders.of(x if isinstance(x, set) else (x,), least) for x in holders.values()]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), *(pa.array([count[k][j] for k in keys], pa.int64()) for j in range(5))],
-                names=["node", "words", "docs", "first", "first_hash", "low", "high"],
+                [pa.array([node(k.split(" ")) for k in keys], pa.int64()), pa.array(keys, pa.string()), pa.array([x.packed() for x in own], pa.binary()), pa.array([x.low for x in own], pa.int64()), pa.array([x.high for x in own], pa.int64())],
+                names=["node", "words", "docs", "low", "high"],
             )
 
     def grow(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -166,38 +194,31 @@ def recurring(docs: DataFrame, least: int = LEAST, similar: float = SIMILAR, lon
 
     def decided(table: pa.Table) -> pa.RecordBatch:
         ids = table.column("node").to_numpy()
-        number = table.column("docs").to_numpy()
         start = np.flatnonzero(np.r_[True, ids[1:] != ids[:-1]])
-        total = np.add.reduceat(number, start)
-        end = np.r_[start[1:], len(ids)]
         out: tuple[list, list, list, list] = ([], [], [], [])
-        busy = total >= (least if long is None else min(least, 2))
-        for a, b in zip(start[busy].tolist(), end[busy].tolist(), strict=True):
+        for a, b in zip(start.tolist(), np.r_[start[1:], len(ids)].tolist(), strict=True):
             part = table.slice(a, b - a)
-            own: dict[str, list] = {}
-            for w, *x in zip(*(part.column(c).to_pylist() for c in ("words", "docs", "first", "first_hash", "low", "high")), strict=True):
-                if w in own:
-                    joined(own[w], x)
-                else:
-                    own[w] = x
+            if b - a == 1 and least > 1 and len(part.column("docs")[0].as_py()) < 16 * min(least, 2):
+                continue  # one template of one document
+            own: dict[str, Holders] = {}
+            for w, docs, low, high in zip(*(part.column(c).to_pylist() for c in ("words", "docs", "low", "high")), strict=True):
+                new = Holders.unpacked(docs, low, high)
+                own[w] = own[w].with_(new, least) if w in own else new
             names = list(own)
-            heads = merged([(w, own[w][0]) for w in names], similar) if len(names) > 1 else [0]
-            sums: dict[int, list] = {}
+            heads = merged([(w, len(own[w].docs)) for w in names], similar) if len(names) > 1 else [0]
+            sums: dict[int, Holders] = {}
             for w, h in zip(names, heads, strict=True):
-                if h in sums:
-                    joined(sums[h], own[w])
-                else:
-                    sums[h] = list(own[w])
+                sums[h] = sums[h].with_(own[w], least) if h in sums else own[w]
             wide = long is not None and names[0].count(" ") + 1 >= long
             for w, h in zip(names, heads, strict=True):
-                if sums[h][0] >= least or wide and sums[h][3] < sums[h][4]:
+                if len(sums[h].docs) >= least or wide and sums[h].low < sums[h].high:
                     out[0].append(int(ids[a]))
                     out[1].append(_signed(xxhash.xxh64_intdigest(w)))
-                    out[2].append(sums[h][1])
-                    out[3].append(sums[h][2])
+                    out[2].append(sums[h].docs[0][0])
+                    out[3].append(sums[h].docs[0][1])
         return pa.RecordBatch.from_arrays([pa.array(x, pa.int64()) for x in out], names=["node", "hash", "first", "first_hash"])
 
-    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", text_hash()).mapInArrow(fold, "node long, words string, docs long, first long, first_hash long, low long, high long")
+    folded = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text")).withColumn("text_hash", text_hash()).mapInArrow(fold, "node long, words string, docs binary, low long, high long")
     return folded.repartition("node").sortWithinPartitions("node").mapInArrow(grow, "node long, hash long, first long, first_hash long")
 
 
