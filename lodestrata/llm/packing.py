@@ -11,13 +11,14 @@ ranked by many tasks.
 Token ids are those of the `tokenizers` file; the byte-level BPE itself runs in `tiktoken` over the same vocabulary, which the
 loader checks for equal form (ids in merge order, the plain byte-level splitter).
 
-Defined cases: a null text counts as empty and is one piece, the end id alone; very long texts give many whole windows; repeated
+Defined cases: a null text counts as empty and is one piece, the end id alone; very long texts, also of one character, give many whole windows; repeated
 rows are packed each for itself; an empty table gives an empty result; further columns are ignored.
 """
 
 from __future__ import annotations
 
 import json
+import re
 import zlib
 from collections.abc import Iterator
 from functools import cache
@@ -37,6 +38,8 @@ END_ID = 0
 BUCKETS = 512
 # Fixed value: the byte-level splitter's pattern.
 SPLIT = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+# The splitter's blanks.
+_LONG_BLANKS = re.compile(r"[\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000]{10000,}")
 
 
 def default_vocabulary() -> str:
@@ -65,7 +68,22 @@ def encoder(path: str) -> tiktoken.Encoding:
 
 
 def token_ids(encoding: tiktoken.Encoding, text: str) -> np.ndarray:
-    return np.array([*encoding.encode(text, allowed_special="all"), END_ID], "<u4")
+    """The text's ids and the end id.
+
+    The splitter's look-ahead over blanks backtracks with a stack that a very long run overflows, so long runs are cut out first. A run is one
+    word of the splitter, without its last blank where another character follows: that blank goes to what follows.
+    """
+    ids: list[int] = []
+    at = 0
+    for m in _LONG_BLANKS.finditer(text):
+        end = m.end()
+        if end < len(text) and not text.startswith(tuple(encoding.special_tokens_set), end):
+            end -= 1
+        ids += encoding.encode(text[at : m.start()], allowed_special="all")
+        ids += encoding._encode_single_piece(text[m.start() : end])
+        at = end
+    ids += encoding.encode(text[at:], allowed_special="all")
+    return np.array([*ids, END_ID], "<u4")
 
 
 def pieces(docs: DataFrame, vocabulary: str, capacity: int = CAPACITY) -> DataFrame:
