@@ -2,8 +2,8 @@
 
 Every record is hashed into one of a few thousand virtual slots. Bytes and rows are added up per slot, which gives a table
 whose size is the number of slots, whatever the input. A versioned map gives each slot a shard: version 0 deals the slots out
-in turn, and a rebalancing edits it (longest slot first, to the lightest shard) into the next version. Rows follow their slot,
-so a change of the map names exactly the slots that move. Within a shard, a row's place is the slot's first place plus its rank
+in turn, and a rebalancing edits the map before it into the next version by moving few slots from heavy shards to light ones, until they
+are within a bound of each other. Rows follow their slot, so a change of the map names exactly the slots that move. Within a shard, a row's place is the slot's first place plus its rank
 in the slot: ranks need one sort per slot, never one per shard.
 
 Defined cases: a null text counts as empty (size 16, crc32 of nothing); null doc_ids are placed like any other, by their text;
@@ -12,8 +12,8 @@ repeated rows share a slot and get different places; an empty table gives an emp
 
 from __future__ import annotations
 
+from bisect import bisect_left, insort
 from dataclasses import dataclass
-from heapq import heapify, heapreplace
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,6 +25,8 @@ from . import common
 SLOTS = 4096
 SHARDS = 40
 ROW_BYTES = 16
+#: The largest difference between two shards, as a share of their mean, that needs no move.
+SPREAD = 0.005
 
 
 @dataclass(frozen=True)
@@ -39,16 +41,57 @@ class SlotMap:
     def first(slots: int = SLOTS, shards: int = SHARDS) -> SlotMap:
         return SlotMap(0, shards, tuple(s % shards for s in range(slots)))
 
-    def rebalanced(self, load: dict[int, int], shards: int | None = None) -> SlotMap:
-        """The next version for the slots' loads: heaviest slot first, each to the shard that is lightest so far."""
+    def rebalanced(self, load: dict[int, int], shards: int | None = None, spread: float = SPREAD) -> SlotMap:
+        """The next version for the slots' loads: this one, edited by as few moves as bring the shards within `spread` of their mean, if slots can do that.
+
+        Slots of shards that are given up go to the lightest shard, heaviest first. Then the heaviest shard gives the lightest the slot nearest to
+        half their difference, which is the most that one move can do, or where its slots are all as large as the difference, one in exchange for
+        another. A shard that cannot do either gives no more.
+        """
         shards = shards or self.shards
-        heap = [(0, s) for s in range(shards)]
-        heapify(heap)
         shard_of = list(self.shard_of)
-        for slot in sorted(range(len(shard_of)), key=lambda s: (-load.get(s, 0), s)):
-            total, shard = heap[0]
-            shard_of[slot] = shard
-            heapreplace(heap, (total + load.get(slot, 0), shard))
+        total = [0] * shards
+        own: list[list[tuple[int, int]]] = [[] for _ in range(shards)]  # (load, slot), ascending
+        homeless = []
+        for slot, s in enumerate(shard_of):
+            x = load.get(slot, 0)
+            if s >= shards:
+                homeless.append((x, slot))
+            else:
+                total[s] += x
+                own[s].append((x, slot))
+        for each in own:
+            each.sort()
+
+        def put(x: int, slot: int, s: int) -> None:
+            shard_of[slot] = s
+            total[s] += x
+            insort(own[s], (x, slot))
+
+        for x, slot in sorted(homeless, key=lambda i: (-i[0], i[1])):
+            put(x, slot, min(range(shards), key=lambda s: (total[s], len(own[s]), s)))
+        givers = set(range(shards))
+        while givers:
+            high, low = max(givers, key=lambda s: (total[s], -s)), min(range(shards), key=lambda s: (total[s], s))
+            gap = total[high] - total[low]
+            if gap * shards <= spread * sum(total):
+                break
+            best = None  # (distance from half the gap, slots to give, slots to take)
+            for y in [(0, -1), *own[low]]:  # a slot for none, or if none fits, for one of the lightest shard's
+                if best and y[1] >= 0:
+                    break
+                i = bisect_left(own[high], (y[0] + gap / 2, 0))
+                for x in own[high][max(i - 1, 0) : i + 1]:
+                    if 0 < x[0] - y[0] < gap and (best is None or abs(x[0] - y[0] - gap / 2) < best[0]):
+                        best = abs(x[0] - y[0] - gap / 2), x, y
+            if best is None:
+                givers.discard(high)
+                continue
+            for (load_of, slot), here, there in ((best[1], high, low), (best[2], low, high)):
+                if slot >= 0:
+                    own[here].remove((load_of, slot))
+                    total[here] -= load_of
+                    put(load_of, slot, there)
         return SlotMap(self.version + 1, shards, tuple(shard_of))
 
     def moved(self, other: SlotMap) -> list[int]:
@@ -68,7 +111,7 @@ class SlotMap:
     @staticmethod
     def load(spark: SparkSession, path: str, version: int | None = None) -> SlotMap:
         """A stored version, the last one unless it is named."""
-        found = spark.read.parquet(path)
+        found = spark.read.schema("slot int, shard int, version int").parquet(path)
         version = found.agg(F.max("version")).first()[0] if version is None else version
         rows = sorted((r.slot, r.shard) for r in found.where(F.col("version") == version).select("slot", "shard").collect())
         return SlotMap(version, max(s for _, s in rows) + 1, tuple(s for _, s in rows))
@@ -81,7 +124,7 @@ def slot_of(key: Column, text: Column, slots: int = SLOTS) -> Column:
 def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: str | None = None) -> DataFrame:
     """doc_id, size, text_crc32, virtual_slot, map_version, shard and place (gapless in its shard) of every document.
 
-    The map's versions are stored under map_path, if given.
+    The map's versions are stored under map_path, if given: the last one there is edited, and a new version is added if slots move.
     """
     spark = docs.sparkSession
     text = common.text_or_empty()
@@ -95,10 +138,16 @@ def shard(docs: DataFrame, shards: int = SHARDS, slots: int = SLOTS, map_path: s
         "slots",
     )
     load = {r.virtual_slot: (r.bytes, r.rows) for r in rows.groupBy("virtual_slot").agg(F.sum("size").alias("bytes"), F.count("*").alias("rows")).collect()}  # at most one row a slot
-    old = SlotMap.first(slots, shards)
-    new = old.rebalanced({s: b for s, (b, _) in load.items()})
-    if map_path:
+    stored = map_path is not None and common.exists(spark, map_path)
+    old = SlotMap.load(spark, map_path) if stored else SlotMap.first(slots, shards)
+    if len(old.shard_of) != slots:
+        raise ValueError(f"the stored map has {len(old.shard_of)} slots, not {slots}")
+    new = old.rebalanced({s: b for s, (b, _) in load.items()}, shards)
+    if new.shard_of == old.shard_of:
+        new = old
+    if map_path and not stored:
         old.save(spark, map_path)
+    if map_path and new is not old:
         new.save(spark, map_path)
     filled, first = [0] * shards, []
     for slot in range(slots):
