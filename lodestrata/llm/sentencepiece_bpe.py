@@ -5,7 +5,8 @@ escaped and cut into words at places that no piece of the vocabulary crosses, so
 a batch lie in flat numpy arrays of symbols. In every round each word finds the least rank among its neighbouring pairs
 (segmented minimum) and merges that pair at its leftmost place; where no piece made by a later merge can come before it, at all its
 places at once, leftmost first. The arrays are then compacted, and words without a mergeable pair leave. That is the order of the
-sequential algorithm, word by word. Words are remembered within a task, up to a fixed number of them.
+sequential algorithm, word by word. Long runs of blanks allow only one merge a round (their pieces all have one rank): the few words that are left
+after a fixed number of rounds are finished by a heap, in n log n. Words are remembered within a task, up to a fixed number of bytes.
 
 Defined cases: a null text counts as empty and has no ids; very long texts and words without a blank take the same path, in
 rounds; ties in rank go to the leftmost pair; repeated rows are encoded alike; an empty table gives an empty result;
@@ -18,7 +19,9 @@ import hashlib
 import re
 import struct
 from collections.abc import Iterator
-from functools import cache
+from functools import cache, cached_property
+from heapq import heappop, heappush
+from itertools import count
 
 import numpy as np
 import pyarrow as pa
@@ -31,8 +34,12 @@ from . import common
 SPACE = "▁"  # fixed value: the sign that stands for a blank
 # Kinds of pieces in the model file.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
-MEMO = 600_000
+#: The most bytes of remembered words, and the most characters of a word that is remembered.
+MEMO_BYTES, MEMO_WORD = 256 << 20, 64
+_ENTRY = 420  # what a word, its entry and its place in the table take, but for the ids
 _NONE = np.int64(1 << 40)
+#: After so many rounds what is left (long runs whose pairs must be merged from left to right one at a time) is merged from a heap.
+ROUNDS = 200
 
 
 def default_model() -> str:
@@ -71,6 +78,12 @@ def _fields(data: bytes) -> Iterator[tuple[int, object]]:
         yield key >> 3, value
 
 
+def _runs(word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Start and end of each word's symbols."""
+    first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
+    return first, np.r_[first[1:], len(word)]
+
+
 class Model:
     """A BPE model and its merge tables."""
 
@@ -151,6 +164,38 @@ class Model:
         into[pair[hit]] = self.merged[found[hit]]
         return rank, into
 
+    @cached_property
+    def _table(self) -> dict[int, tuple[int, int]]:
+        return dict(zip(self.keys.tolist(), zip(self.ranks.tolist(), self.merged.tolist(), strict=True), strict=True))
+
+    def _one_by_one(self, s: list[int]) -> tuple[np.ndarray, np.ndarray]:
+        """Places and ids of the symbols that are left of one word, merged pair by pair from a heap (rank, place)."""
+        after, before = [*range(1, len(s)), -1], [*range(-1, len(s) - 1)]
+        alive = [True] * len(s)
+        waiting: list[tuple[int, int, int, int]] = []
+
+        def offer(i: int, j: int) -> None:
+            if s[i] >= 0 and s[j] >= 0 and (found := self._table.get(s[i] * self.width + s[j])):
+                heappush(waiting, (found[0], i, s[i], s[j]))
+
+        for i in range(len(s) - 1):
+            offer(i, i + 1)
+        while waiting:
+            _, i, left, right = heappop(waiting)
+            j = after[i]
+            if not alive[i] or j < 0 or (s[i], s[j]) != (left, right):
+                continue  # one of the two was merged before
+            s[i] = self._table[left * self.width + right][1]
+            alive[j] = False
+            after[i] = k = after[j]
+            if k >= 0:
+                before[k] = i
+                offer(i, k)
+            if before[i] >= 0:
+                offer(before[i], i)
+        place = np.flatnonzero(alive)
+        return place, np.array(s, np.int64)[place]
+
     def encode_words(self, words: list[str]) -> list[list[int]]:
         """The ids of each word, all words merged together in rounds."""
         size = np.fromiter(map(len, words), np.int64, len(words))
@@ -162,7 +207,9 @@ class Model:
         raw = points  # the character of a symbol that is no piece
         done: list[tuple[np.ndarray, np.ndarray, np.ndarray]] = []
         rank, into = self._pairs(s, word, np.arange(len(s)))
-        while len(s):
+        for turn in count():
+            if not len(s):
+                break
             first = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
             least = np.repeat(np.minimum.reduceat(rank, first), np.diff(np.r_[first, len(s)]))
             over = least == _NONE
@@ -171,6 +218,11 @@ class Model:
                 s, word, raw, rank, into, least = (x[~over] for x in (s, word, raw, rank, into, least))
                 if not len(s):
                     break
+            if turn == ROUNDS:
+                for a, b in zip(*(x.tolist() for x in _runs(word)), strict=True):
+                    place, own = self._one_by_one(s[a:b].tolist())
+                    done.append((word[a:b][place], own, raw[a:b][place]))
+                break
             at = np.flatnonzero(rank == least)
             # of a word's places only the leftmost, if a piece made from the merged one may come before it; else all that make the same piece
             lead = np.r_[True, word[at[1:]] != word[at[:-1]]]
@@ -229,19 +281,29 @@ def model(path: str) -> Model:
 
 
 class Memo:
-    """Distinct words of a task with the number of their ids, the ids as text, and the ids decoded."""
+    """Distinct words of a task with the number of their ids, the ids as text, and the ids decoded.
+
+    Bounded in bytes: long words (a text without blanks is one) are not remembered, and what is remembered is dropped when it has grown to MEMO_BYTES.
+    """
 
     def __init__(self, path: str):
-        self.model, self.known = model(path), {}
+        self.model, self.known, self.held = model(path), {}, 0
 
-    def look_up(self, texts: list[list[str]]) -> dict[str, tuple[int, str, str]]:
-        if len(self.known) > MEMO:
-            self.known.clear()
+    def look_up(self, texts: list[list[str]]) -> list[list[tuple[int, str, str]]]:
+        if self.held > MEMO_BYTES:
+            self.known, self.held = {}, 0
         new = list({w for t in texts for w in t} - self.known.keys())
-        back = self.model.decode_word
+        back, long = self.model.decode_word, {}
         for w, ids in zip(new, self.model.encode_words(new), strict=True):
-            self.known[w] = (len(ids), ",".join(map(str, ids)), back(ids))
-        return self.known
+            entry = (len(ids), ",".join(map(str, ids)), back(ids))
+            if len(w) > MEMO_WORD:
+                long[w] = entry
+            else:
+                self.known[w] = entry
+                self.held += _ENTRY + len(entry[1])
+        if not long:
+            return [[self.known[w] for w in t] for t in texts]
+        return [[long[w] if len(w) > MEMO_WORD else self.known[w] for w in t] for t in texts]
 
 
 @cache
@@ -256,10 +318,9 @@ def encode(docs: DataFrame, path: str | None = None) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path)
-        for batch in batches:
-            texts = [words.model.words(t or "") for t in batch.column("text").to_pylist()]
-            known = words.look_up(texts)
-            ids = pa.array([[int(i) for w in t for i in known[w][1].split(",")] for t in texts], pa.list_(pa.int32()))
+        for batch in common.slices(batches):
+            found = words.look_up([words.model.words(t or "") for t in batch.column("text").to_pylist()])
+            ids = pa.array([[int(i) for f in t for i in f[1].split(",")] for t in found], pa.list_(pa.int32()))
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), ids], names=schema.names)
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
@@ -273,17 +334,13 @@ def digest(docs: DataFrame, path: str | None = None) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = memo(path)
         sha = lambda x: hashlib.sha256(x.encode("utf-8", "surrogatepass")).hexdigest()
-        for whole in batches:
-            for at in range(0, whole.num_rows, 512):
-                batch = whole.slice(at, 512)
-                texts = [words.model.words(t or "") for t in batch.column("text").to_pylist()]
-                known = words.look_up(texts)
-                found = [[known[w] for w in t] for t in texts]
-                n = [sum([f[0] for f in t]) for t in found]
-                ids = [sha(",".join([f[1] for f in t])) for t in found]
-                # a text's first word begins with the dummy prefix, whose blank decoding drops
-                back = [sha("".join([f[2] for f in t])[words.model.dummy_prefix and bool(t) :]) for t in found]
-                yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=schema.names)
+        for batch in common.slices(batches):
+            found = words.look_up([words.model.words(t or "") for t in batch.column("text").to_pylist()])
+            n = [sum([f[0] for f in t]) for t in found]
+            ids = [sha(",".join([f[1] for f in t])) for t in found]
+            # a text's first word begins with the dummy prefix, whose blank decoding drops
+            back = [sha("".join([f[2] for f in t])[words.model.dummy_prefix and bool(t) :]) for t in found]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(ids, pa.string()), pa.array(back, pa.string())], names=schema.names)
 
     return docs.select("doc_id", F.col("text").cast("string").alias("text")).mapInArrow(run, schema)
 
