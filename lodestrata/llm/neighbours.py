@@ -9,7 +9,7 @@ power of the similarity; a small prior keeps the score defined.
 
 Labels, language, source and doc_id are no inputs of a score: doc_id only decides which rows may be learnt from (crc32 of its text
 modulo 3 is not 1). Defined cases: a null text counts as empty, and a text of under three bytes gets the prior, the share of label 1 in the sample
-(0.5 without any labels); very long texts are counted in pieces; repeated labels of one doc_id count once, with the largest label; null labels
+(0.5 without any labels); very long texts are counted in pieces; repeated labels of one doc_id count once, with the largest label; of several texts with one doc_id the one with the least hash is learnt from; null labels
 and null doc_ids are not learnt from; documents with a null doc_id are not held out; ties among neighbours go to the smaller row of the
 sample; an empty table gives an empty result; further columns are ignored.
 """
@@ -57,6 +57,21 @@ def counted(text: str) -> np.ndarray:
     return out
 
 
+def nearest(cosine: np.ndarray, k: int) -> np.ndarray:
+    """The columns of the k largest values of each row, ascending; of equal values the smaller columns."""
+    if k == cosine.shape[1]:
+        return np.broadcast_to(np.arange(k), cosine.shape)
+    least = np.partition(cosine, cosine.shape[1] - k, axis=1)[:, -k, None]
+    pick = cosine > least
+    room = k - pick.sum(1)
+    tied = cosine == least
+    row, column = np.nonzero(tied)  # at least one a row
+    place = np.arange(len(row)) - np.searchsorted(row, np.arange(len(cosine)))[row]
+    own = place < room[row]
+    pick[row[own], column[own]] = True
+    return np.nonzero(pick)[1].reshape(-1, k)
+
+
 class Space:
     """The latent space of a sample and the sample's vectors and labels in it."""
 
@@ -88,7 +103,7 @@ class Space:
             return np.full(len(counts), self.prior)
         cosine = self._unit(self._weighted(counts) @ self.axes) @ self.vectors.T
         k = min(k, len(self.labels))
-        near = np.argpartition(-cosine, k - 1, axis=1)[:, :k] if k < len(self.labels) else np.broadcast_to(np.arange(k), (len(counts), k))
+        near = nearest(cosine, k)
         weight = np.maximum(np.take_along_axis(cosine, near, 1), 0).astype(np.float64) ** POWER
         out = ((weight * self.labels[near]).sum(1) + PRIOR * self.prior) / (weight.sum(1) + PRIOR)
         return np.clip(np.where(counts[:, :-1].any(1), out, self.prior), 0, 1)
@@ -98,19 +113,21 @@ def fit(docs: DataFrame, labels: DataFrame, label: str = "quality", labelled: in
     """The space of at most `labelled` rows that may be learnt from."""
     known = labels.where(F.col("doc_id").isNotNull() & F.col(label).isNotNull() & ~held_out(F.col("doc_id"))).groupBy("doc_id").agg(F.max(label).cast("double").alias("_label"))
     picked = known.orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id").limit(labelled)
-    text = docs.select("doc_id", F.col("text").cast("string").alias("text")).join(F.broadcast(picked), "doc_id")  # picked has at most `labelled` rows
+    text = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("_hash", F.xxhash64("text"))
+    text = text.join(F.broadcast(picked), "doc_id")  # picked has at most `labelled` rows
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             found = [counted(t or "") for t in batch.column("text").to_pylist()]
             places = [np.flatnonzero(c) for c in found]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("_label"), pa.array([p.astype("<u2").tobytes() for p in places], pa.binary()), pa.array([np.minimum(c[p], 2**31).astype("<u4").tobytes() for c, p in zip(found, places, strict=True)], pa.binary())],
-                names=["doc_id", "label", "place", "n"],
+                [batch.column("doc_id"), batch.column("_hash"), batch.column("_label"), pa.array([p.astype("<u2").tobytes() for p in places], pa.binary()), pa.array([np.minimum(c[p], 2**31).astype("<u4").tobytes() for c, p in zip(found, places, strict=True)], pa.binary())],
+                names=["doc_id", "hash", "label", "place", "n"],
             )
 
-    schema = T.StructType([docs.schema["doc_id"], T.StructField("label", T.DoubleType()), T.StructField("place", T.BinaryType()), T.StructField("n", T.BinaryType())])
-    rows = text.mapInArrow(run, schema).dropDuplicates(["doc_id"]).orderBy("doc_id").limit(labelled).collect()
+    schema = T.StructType([docs.schema["doc_id"], T.StructField("hash", T.LongType()), T.StructField("label", T.DoubleType()), T.StructField("place", T.BinaryType()), T.StructField("n", T.BinaryType())])
+    one = F.min(F.struct("hash", "label", "place", "n")).alias("one")
+    rows = text.mapInArrow(run, schema).groupBy("doc_id").agg(one).orderBy("doc_id").limit(labelled).select("one.*").collect()
     counts = np.zeros((len(rows), BUCKETS + 1), np.float32)
     for i, r in enumerate(rows):
         counts[i, np.frombuffer(r.place, "<u2")] = np.frombuffer(r.n, "<u4")
