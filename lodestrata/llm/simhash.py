@@ -53,6 +53,8 @@ _BITS, _MESSAGES, _RADIUS = 23, 4096, 3
 _PIECE = 1 << 18
 _PART = 1 << 14
 _GROUP, _STEP = 8192, 2048
+#: Replicas that one task makes, about.
+REPLICAS = 1_000_000
 
 
 def fingerprint(text: str, words: int) -> int:
@@ -227,7 +229,9 @@ def links(distinct: DataFrame, threshold: int = THRESHOLD, blocks: int = 2, reac
         a, b = _links(anchor, fp, home if reach >= threshold else None, threshold)
         return pa.RecordBatch.from_arrays([pa.array(a.view(np.int64)), pa.array(b.view(np.int64))], names=["a", "b"])
 
-    spreaded = distinct.select("fp").mapInArrow(spread, "anchor int, fp long, home boolean")
+    # a fingerprint becomes dozens of replicas: as many tasks as these need, however few splits the fingerprints are read in
+    n = 1 + distinct.count() // (REPLICAS // (80 if blocks == 2 else 25))
+    spreaded = distinct.select("fp").repartition(n, "fp").mapInArrow(spread, "anchor int, fp long, home boolean")
     return spreaded.repartition("anchor").sortWithinPartitions("anchor").mapInArrow(meet, "a long, b long")
 
 
