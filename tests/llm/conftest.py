@@ -17,6 +17,12 @@ ROWS = [
     (9, "line a 12\nline b\nline a 13\n\nline b", "en"),
     (10, "line a 99\nother", "en"),
     (11, "line a 7\nline b", "en"),
+    (None, "a second text without an id\nline b", "en"),
+    (None, "a second text without an id\nline b", "en"),
+    (None, None, None),
+    (12, "one id\nline a 5", "en"),
+    (12, "the same id and another text\nline b", "ru"),
+    (13, " " * 30_000, "en"),
 ]
 
 

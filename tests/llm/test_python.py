@@ -141,7 +141,17 @@ def test_local_roots_of_large_groups():
     expected = brute_components([int(f) for f in fp[:400]], 2)
     small = simhash.local_roots(fp[:400], 2)
     assert [int(fp[i]) for i in small] == [expected[int(f)] for f in fp[:400]]
-    assert (fp.view(np.int64)[root] <= fp.view(np.int64)).all()
+    signed = fp.view(np.int64)
+    assert (signed[root] <= signed).all()
+    least = np.arange(len(fp))  # brute force: every pair, until nothing changes
+    linked = [np.flatnonzero(np.bitwise_count(fp ^ f) <= 2) for f in fp]
+    changed = True
+    while changed:
+        before = least.copy()
+        for i, near in enumerate(linked):
+            least[i] = least[near[np.argmin(signed[least[near]])]]
+        changed = bool((least != before).any())
+    assert (signed[least] == signed[root]).all()
 
 
 def test_near_dedup(edge):
@@ -230,10 +240,11 @@ def check_pieces(rows, df, capacity):
     for r in df.collect():
         ids = packing.token_ids(encoding, r.text or "")
         found = [p for p in at[r.doc_id] if p.doc_tokens == len(ids)]
-        assert sum(p.length for p in found) % len(ids) == 0
-        for p in found:
-            assert any(zlib.crc32(packing.token_ids(encoding, t.text or "")[p.start : p.start + p.length].tobytes()) == p.ids_crc32 for t in df.where(F.col("doc_id").eqNullSafe(F.lit(r.doc_id))).select("text").collect()) or True
-            assert zlib.crc32(ids[p.start : p.start + p.length].tobytes()) == p.ids_crc32
+        starts = Counter((p.start, p.length, p.ids_crc32) for p in found)
+        for at_ in range(0, len(ids), capacity):
+            part = ids[at_ : at_ + capacity]
+            assert starts[at_, len(part), zlib.crc32(part.tobytes())] >= 1
+    assert sum(r.length for r in rows) == sum(len(packing.token_ids(encoding, r.text or "")) for r in df.collect())
     return sum(r.length for r in rows) / (len(seq) * capacity)
 
 
@@ -252,6 +263,23 @@ def test_ids_are_those_of_the_library(sample):
         assert [*library.encode(t, add_special_tokens=False).ids, 0] == packing.token_ids(encoding, t).tolist()
 
 
+@pytest.mark.parametrize("run", [" ", "\n", "\u3000", " \n"])
+@pytest.mark.parametrize("after", ["", "a", " a", "<|endoftext|>", "!", "1"])
+def test_long_blanks(run, after):
+    from tokenizers import Tokenizer
+
+    library = Tokenizer.from_file(packing.default_vocabulary())
+    t = f"x{run * 12_000}{after}{run * 11_000}y"
+    assert [*library.encode(t, add_special_tokens=False).ids, 0] == packing.token_ids(packing.encoder(packing.default_vocabulary()), t).tolist()
+
+
+@pytest.mark.parametrize("char", [" ", "\n", "a", "1", "!", "é"])
+def test_megabytes_of_one_character(char):
+    encoding = packing.encoder(packing.default_vocabulary())
+    ids = packing.token_ids(encoding, char * 5_000_000)
+    assert encoding.decode(ids[:-1].tolist()) == char * 5_000_000
+
+
 def test_fill_is_closest():
     rng = random.Random(2)
     for _ in range(200):
@@ -274,7 +302,7 @@ def test_sentencepiece(edge, nothing):
     library = sentencepiece.SentencePieceProcessor(model_file=sentencepiece_bpe.default_model())
     rng = random.Random(1)
     parts = ["a", "b", "the", " ", "  ", "\n", "e", "r", "er", "in", "é", "漢", "龘", "🙂", "▁", "aaaa", "<0x41>", "<s>", "\t", "1", "000", "\x00", "!!", "ing", "zzzzzzzzz", "\xa0", "</s>"]
-    texts = [" ", "", "   a", "a" * 3000, "ab" * 2000, *("".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(1500))]
+    texts = [" ", "", "   a", "a" * 3000, "ab" * 2000, " " * 9001, "x" + " " * 700 + "y" + " " * 5000, *("".join(rng.choice(parts) for _ in range(rng.randint(0, 40))) for _ in range(1500))]
     m = sentencepiece_bpe.model(sentencepiece_bpe.default_model())
     words = [m.words(t) for t in texts]
     ids = iter(m.encode_words([w for t in words for w in t]))
@@ -292,6 +320,17 @@ def test_sentencepiece(edge, nothing):
     assert sentencepiece_bpe.digest(nothing).count() == 0
 
 
+def test_memo_is_bounded(monkeypatch):
+    monkeypatch.setattr(sentencepiece_bpe, "MEMO_BYTES", 2000)
+    words = sentencepiece_bpe.Memo(sentencepiece_bpe.default_model())
+    expected = lambda t: sum(len(x) for x in words.model.encode_words(words.model.words(t)))
+    for t in ("the cat sat on the mat " * 3, "x" * 5000, " ".join(f"w{i}" for i in range(200)), "the cat " + "y" * 300 + " sat"):
+        (found,) = words.look_up([words.model.words(t)])
+        assert sum(f[0] for f in found) == expected(t)
+        assert all(len(w) <= sentencepiece_bpe.MEMO_WORD for w in words.known)
+    assert len(words.known) < 10
+
+
 # --- personal data
 
 
@@ -319,10 +358,9 @@ def test_personal_data(edge, nothing, sample):
     assert pii.find(nothing).count() == pii.redact(nothing).count() == 0
 
 
-@pytest.mark.parametrize(("text", "kinds"), [("IBAN: DE89 3704 0044 0532 0130 00.", ["account"]), ("IBAN: DE89 3704 0044 0532 0130 01.", ["account"]), ("account number 12345678", ["account"]), ('token = "1eb9c654e721b4f8"', ["secret"]), ("the token of it", []), ("see https://u:p@x.org/a", ["email", "url"]), ("see https://x.org/a", []), ("mailto:me@x.org", ["email", "url"])])
+@pytest.mark.parametrize(("text", "kinds"), [("IBAN: DE89 3704 0044 0532 0130 00.", ["account"]), ("IBAN: DE89 3704 0044 0532 0130 01.", []), ("account number 12345678", ["account"]), ('token = "1eb9c654e721b4f8"', ["secret"]), ("the token of it", []), ("see https://u:p@x.org/a", ["email", "url"]), ("see https://x.org/a", []), ("mailto:me@x.org", ["email", "url"])])
 def test_added_kinds(text, kinds):
-    found = [s[0] for s in pii.spans(text, pii.automaton())]
-    assert sorted(set(found) - {"card"}) == (kinds if "01." not in text or "3000" in text else found)
+    assert sorted({s[0] for s in pii.spans(text, pii.automaton())} - {"card"}) == kinds
 
 
 def test_redaction(spark, edge):
@@ -365,43 +403,92 @@ def test_votes_are_exact():
         assert s == pytest.approx(((w * space.labels[near]).sum() + neighbours.PRIOR * space.prior) / (w.sum() + neighbours.PRIOR), rel=1e-5)
 
 
+def test_ties_go_to_the_smaller_row():
+    rng = np.random.default_rng(4)
+    cosine = rng.integers(0, 4, (200, 30)).astype(np.float32) / 4  # many ties
+    for k in (1, 7, 29, 30):
+        assert neighbours.nearest(cosine, k).tolist() == [sorted(np.argsort(-row, kind="stable")[:k].tolist()) for row in cosine]
+
+
 # --- line templates
 
 
-def brute_lines(rows, least):
-    docs = defaultdict(set)
-    for r in rows:
-        for line in (r.text or "").split("\n") if r.text is not None else []:
-            words = line_templates.template(line)
-            if words:
-                docs[" ".join(words)].add(2**63 - 1 if r.doc_id is None else r.doc_id)
+def brute_lines(rows, least=line_templates.LEAST, long=None):
+    """Numbers of the dropped lines of each document (doc_id, text), by comparing every template with every group of its node."""
+    documents = list(dict.fromkeys((r.doc_id, r.text) for r in rows))
+    order = lambda d: (d[0] is None, d[0] or 0, line_templates._signed(xxhash.xxh64_intdigest(d[1] or "", 42)))
+    holders, nodes = defaultdict(set), defaultdict(set)
+    for d in documents:
+        for line in (d[1] or "").split("\n"):
+            if words := tuple("<*>" if re.search("[0-9]", w) else w for w in line.split()):
+                holders[words].add(d)
+                nodes[len(words), words[:3]].add(words)
+    drop = {}
+    for templates in nodes.values():
+        groups = []
+        for t in sorted(templates, key=lambda t: (-min(len(holders[t]), least), " ".join(t))):
+            fixed = sum(w != "<*>" for w in t)
+            shares = [sum(a == b != "<*>" for a, b in zip(t, g, strict=True)) / max(fixed, 1) for g, _ in groups]
+            if shares and max(shares) >= line_templates.SIMILAR:
+                i = shares.index(max(shares))
+                groups[i][0][:] = [a if a == b else "<*>" for a, b in zip(groups[i][0], t, strict=True)]
+                groups[i][1].append(t)
+            else:
+                groups.append((list(t), [t]))
+        for _, own in groups:
+            docs = set().union(*(holders[t] for t in own))
+            if len(docs) >= least or long and len(own[0]) >= long and len({d[1] for d in docs}) > 1:
+                drop |= dict.fromkeys(own, docs)
     out = {}
-    for r in rows:
-        lines = [] if r.text is None else [" ".join(line_templates.template(x)) for x in r.text.split("\n")]
-        me = 2**63 - 1 if r.doc_id is None else r.doc_id
-        out[r.doc_id] = [i for i, x in enumerate(lines) if x and len(docs[x]) >= least and min(docs[x]) != me]
+    for d in documents:
+        lines = [tuple("<*>" if re.search("[0-9]", w) else w for w in x.split()) for x in (d[1] or "").split("\n")]
+        out[d] = [i for i, x in enumerate(lines) if x in drop and d != min(drop[x], key=order)]
     return out
 
 
-def test_templates(edge, nothing, sample):
-    for df in (edge, sample):
-        rows = df.dropDuplicates(["doc_id"]).collect()
-        got = {r.doc_id: list(r.dropped) for r in line_templates.dropped(df.dropDuplicates(["doc_id"]), similar=1.01).collect()}
-        assert got == brute_lines(rows, line_templates.LEAST)  # no two different templates are merged at this threshold
-    out = {r.doc_id: r.text for r in line_templates.dedup(edge).collect()}
-    assert (out[9], out[10], out[11], out[3]) == ("line a 12\nline b\nline a 13\n\nline b", "other", "line b", None)
+def documents_with_numbers(df, long):
+    docs = df.select("doc_id", "text").distinct().withColumn("hash", line_templates.text_hash())
+    hit = line_templates._dropped(df, line_templates.LEAST, line_templates.SIMILAR, long).distinct()
+    same = docs.doc_id.eqNullSafe(hit.doc_id) & docs.hash.eqNullSafe(hit.text_hash)
+    return {(r.doc_id, r.text): list(r.dropped) for r in docs.join(hit, same).select(docs.doc_id, "text", "dropped").collect()}
+
+
+def test_templates(spark, edge, nothing, sample):
+    rng = random.Random(6)
+    line = lambda: " ".join(rng.choice(["sent by", "from"]).split() + [rng.choice("abcdefgh") for _ in range(rng.choice([3, 8, 9]))] + [rng.choice(["x1", "y", "z"])])
+    made = [(rng.choice([None, *range(60)]), "\n".join(line() for _ in range(rng.randint(1, 5)))) for _ in range(200)]
+    made = spark.createDataFrame(made + rng.sample(made, 40), "doc_id long, text string")
+    for df in (edge, sample, made, sample.unionByName(sample).select("doc_id", "text")):
+        for long in (None, line_templates.LONG):
+            assert documents_with_numbers(df, long) == brute_lines(df.collect(), long=long)
+    assert sum(map(len, documents_with_numbers(made, None).values())) > 10
+    out = {(r.doc_id, r.n_chars): r.text for r in line_templates.dedup(edge).collect()}
+    assert "line a 12\nline b\nline a 13\n\nline b" in out.values()
+    assert out[10, 5], out[3, None] == ("other", None)
     assert line_templates.dedup(edge).columns == edge.columns
     assert line_templates.dedup(edge).count() == edge.count()
     assert line_templates.dedup(nothing).count() == 0
 
 
+def test_lines_count_documents(spark):
+    """A stored copy of a row and a second variant within a document do not make a line recur."""
+    twice = [(1, "a common line here\nx"), (1, "a common line here\nx"), (2, "a common line here\ny")]
+    variants = [(1, "sent on behalf of alice to all readers today\nsent on behalf of bob to all readers today"), (2, "sent on behalf of carol to all readers today\nz")]
+    for rows in (twice, variants):
+        out = Counter(tuple(r) for r in line_templates.dedup(spark.createDataFrame(rows, "doc_id long, text string")).collect())
+        assert out == Counter(rows)
+    third = [*variants, (3, "sent on behalf of dave to all readers today\nw")]
+    out = {r.doc_id: r.text for r in line_templates.dedup(spark.createDataFrame(third, "doc_id long, text string")).collect()}
+    assert out == {1: variants[0][1], 2: "z", 3: "w"}
+
+
 def test_merging_generalises():
     same = [("Released under the MIT License today ok", 5), ("Released under the BSD License today ok", 2), ("Released under the moon you see it", 1)]
     heads = line_templates.merged(same)
     assert heads[0] == heads[1] == 0
     assert heads[2] == 2
-    many = [(f"a b c {i} x y z w v u", 1) for i in range(600)]
-    assert len(line_templates.merged(many)) == 600
+    many = [(f"a b c d{i:03d}x x y z w v u", 1) for i in range(600)]
+    assert set(line_templates.merged(many)) == {0}
 
 
 def test_order_does_not_matter(spark):
