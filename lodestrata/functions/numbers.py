@@ -31,6 +31,11 @@ def token(c: Column, multiplier: Column | None = None) -> Column:
     return once(F.regexp_replace(c, r"\s+", ""), read)
 
 
+def _digits(c: Column) -> Column:
+    """Has a text a digit? A cheap test in front of the patterns, which most texts without numbers never meet."""
+    return c.rlike("[0-9]")
+
+
 def prices(c: Column) -> Column:
     """array of struct(amount, monthly) of the prices in a text, in order; none where the price is on request.
 
@@ -51,7 +56,7 @@ def prices(c: Column) -> Column:
         return F.filter(F.zip_with(found, ends, one), lambda x: x["amount"].isNotNull())
 
     none = F.array().cast("array<struct<amount:decimal(20,2),monthly:boolean>>")
-    return F.when(c.isNull() | ~c.rlike(_PRICE) | c.rlike(P.ON_REQUEST), none).otherwise(once(c, read))
+    return F.when(c.isNull() | ~_digits(c) | ~c.rlike(_PRICE) | c.rlike(P.ON_REQUEST), none).otherwise(once(c, read))
 
 
 def _preferred(found: Column) -> Column:
@@ -59,6 +64,11 @@ def _preferred(found: Column) -> Column:
     return once(F.filter(found, lambda x: ~x["monthly"]), lambda x: F.when(F.size(x) > 0, x).otherwise(found))
 
 
+def first_of(values: list[Column], read, kind: str) -> Column:
+    """The first of read(value) that is not null, value by value; read is put into the plan once, however many values there are, and runs until it has one."""
+    return F.aggregate(F.array(*values), F.lit(None).cast(kind), lambda found, c: F.coalesce(found, read(c)))
+
+
 def _in(x: Column, bounds: tuple) -> Column:
     return x.between(F.lit(bounds[0]), F.lit(bounds[1]))
 
@@ -80,7 +90,7 @@ def price(values: list[Column], listing_type: Column) -> Column:
         bare = F.when(c.rlike(f"^(?:{P.BARE_PRICE})$"), token(c))
         return F.coalesce(listed, once(bare, lambda x: F.when(ok(x), x)))
 
-    return F.coalesce(*map(read, values))
+    return first_of(values, read, "decimal(20,2)")
 
 
 def surface(values: list[Column]) -> Column:
@@ -90,31 +100,28 @@ def surface(values: list[Column]) -> Column:
         listed = F.concat(F.regexp_extract_all(c, F.lit(P.AREA), 1), F.regexp_extract_all(c, F.lit(P.AREA_AFTER), 1))
         first = F.get(F.filter(F.transform(listed, lambda x: token(x)), lambda x: _in(x, P.SURFACE)), F.lit(0))
         bare = F.when(c.rlike(r"^[0-9]+(?:[,.][0-9]{1,2})?$"), token(c))
-        return F.coalesce(first, once(bare, lambda x: F.when(_in(x, P.SURFACE), x)))
+        return F.when(_digits(c), F.coalesce(first, once(bare, lambda x: F.when(_in(x, P.SURFACE), x))))
 
-    return F.coalesce(*map(read, values))
+    return first_of(values, read, "decimal(20,2)")
 
 
 def _count(c: Column, pattern: str, bounds: tuple, group: int = 1) -> Column:
-    return once(F.regexp_extract(c, pattern, group).try_cast("int"), lambda n: F.when(_in(n, bounds), n))
+    return once(F.when(_digits(c), F.regexp_extract(c, pattern, group).try_cast("int")), lambda n: F.when(_in(n, bounds), n))
 
 
 def _any(values: list[Column], pattern: str) -> Column:
-    out = F.lit(False)
-    for c in values:
-        out = out | F.coalesce(c.rlike(pattern), F.lit(False))
-    return out
+    return F.exists(F.array(*values), lambda c: F.coalesce(c.rlike(pattern), F.lit(False)))
 
 
 def bedrooms(values: list[Column]) -> Column:
     """0 for a studio anywhere, else the count of bedrooms, else the count of rooms less one."""
-    pieces = F.coalesce(*(_count(c, P.PIECES, (1, P.ROOMS[1] + 2)) for c in values)) - 1
-    return F.when(_any(values, P.STUDIO), F.lit(0)).otherwise(F.coalesce(*(_count(c, P.BEDROOMS, P.ROOMS) for c in values), pieces))
+    pieces = first_of(values, lambda c: _count(c, P.PIECES, (1, P.ROOMS[1] + 2)), "int") - 1
+    return F.when(_any(values, P.STUDIO), F.lit(0)).otherwise(F.coalesce(first_of(values, lambda c: _count(c, P.BEDROOMS, P.ROOMS), "int"), pieces))
 
 
 def bathrooms(values: list[Column]) -> Column:
     """The count of bathrooms, else 1 where the word stands alone."""
-    return F.coalesce(*(_count(c, P.BATHROOMS, P.ROOMS) for c in values), F.when(_any(values, P.ONE_BATHROOM), F.lit(1)))
+    return F.coalesce(first_of(values, lambda c: _count(c, P.BATHROOMS, P.ROOMS), "int"), F.when(_any(values, P.ONE_BATHROOM), F.lit(1)))
 
 
 def floor(c: Column, focused: bool = False) -> Column:
@@ -122,15 +129,15 @@ def floor(c: Column, focused: bool = False) -> Column:
     n = F.coalesce(F.regexp_extract(c, P.FLOOR_ANY, 1).try_cast("int"), F.regexp_extract(c, P.FLOOR_ANY, 2).try_cast("int"))
     worded = once(n, lambda x: F.when(_in(x, (1, P.FLOOR[1])), x))
     alone = integer(c, (1, P.FLOOR[1])) if focused else F.lit(None).cast("int")
-    return F.when(c.rlike(P.GROUND), F.lit(0)).when(c.rlike(P.FLOOR_ANY), worded).otherwise(alone)
+    return F.when(c.rlike(P.GROUND), F.lit(0)).when(_digits(c) & c.rlike(P.FLOOR_ANY), worded).otherwise(alone)
 
 
 def year(values: list[Column], current_year: int) -> Column:
     """The year after a building keyword, else any year; not after current_year and at most 200 years before."""
     def read(c: Column) -> Column:
-        return _count(F.when(c.rlike(P.BUILT), F.regexp_extract(c, P.BUILT, 1)).otherwise(F.regexp_extract(c, P.YEAR, 1)), "^([0-9]+)$", (max(1800, current_year - 200), current_year))
+        return _count(F.when(_digits(c) & c.rlike(P.BUILT), F.regexp_extract(c, P.BUILT, 1)).otherwise(F.regexp_extract(c, P.YEAR, 1)), "^([0-9]+)$", (max(1800, current_year - 200), current_year))
 
-    return F.coalesce(*map(read, values))
+    return first_of(values, read, "int")
 
 
 def integer(c: Column, bounds: tuple) -> Column:

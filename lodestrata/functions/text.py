@@ -3,25 +3,37 @@
 from __future__ import annotations
 
 import html
+import json
 import re
 import unicodedata
+from html.entities import html5
 
-import pandas as pd
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from . import patterns as P
 
 #: Everything that Python's \s matches, for Java.
 SPACES = r"[\s\x1c-\x1f\x85   -     　]+"
-_ACCENTED = "".join(chr(c) for c in range(0xC0, 0x250) if len(unicodedata.normalize("NFKD", chr(c))) > 1 and unicodedata.normalize("NFKD", chr(c))[0].isascii() and not any(x.isascii() for x in unicodedata.normalize("NFKD", chr(c))[1:]))
-_PLAIN = "".join(unicodedata.normalize("NFKD", c)[0] for c in _ACCENTED)
+def _plain(c: str) -> str:
+    """A character without its accents, compatibility forms resolved."""
+    return "".join(x for x in unicodedata.normalize("NFKD", c) if not unicodedata.combining(x))
 
 
-@F.pandas_udf(T.StringType())
-def _unescape_rare(s: pd.Series) -> pd.Series:
-    return s.map(html.unescape, na_action="ignore")
+# by rule: letters and digits beyond ASCII that are one ASCII letter or digit without accents
+_ACCENTED = "".join(c for c in map(chr, range(0x80, 0xFFFF)) if len(_plain(c)) == 1 and _plain(c).isascii() and _plain(c).isalnum())
+_PLAIN = "".join(map(_plain, _ACCENTED))
+# by rule: the character references of HTML, with and without the semicolon
+_NAMED = json.dumps({k: v for k, v in html5.items() if k.endswith(";")})
+_BARE = {k: v for k, v in html5.items() if not k.endswith(";")}
+_BARE_NAMES = "^(?:" + "|".join(sorted(_BARE, key=lambda k: (-len(k), k))) + ")"
+# by rule: numbers that do not stand for their own code point
+_NUMBERS = {str(n): html.unescape(f"&#{n};") for n in (*range(0x100), *range(0xFDD0, 0xFDF0), *(p << 16 | x for p in range(17) for x in (0xFFFE, 0xFFFF))) if html.unescape(f"&#{n};") != chr(n)}
+
+
+def _table(values: str) -> Column:
+    """A constant map; as one literal, which the optimizer folds, it costs a plan little."""
+    return F.from_json(F.lit(values), "map<string,string>")
 
 
 def once(value: Column, body) -> Column:
@@ -35,15 +47,36 @@ def filled(c: Column) -> Column:
 
 
 def unescape(c: Column) -> Column:
-    """HTML entities resolved: without an ampersand nothing, otherwise the standard library's whole table, in Arrow batches."""
-    return _unescape_rare(c)
+    """HTML character references resolved, as the standard library's html.unescape does: named ones, bare old ones by their longest prefix, numbers."""
+
+    def number(piece: Column) -> Column:
+        """The number of a numeric reference, null if there is none; as large as it needs to be to be out of range."""
+        digits, six = F.regexp_extract(piece, "^#0*([0-9]{1,8})", 1), F.regexp_extract(piece, "^#[xX]0*([0-9a-fA-F]{1,7})", 1)
+        zero = F.when(piece.rlike("^#(?:[0-9]|[xX][0-9a-fA-F])"), F.lit(0))
+        return F.coalesce(F.when(digits != "", digits.cast("bigint")), F.when(six != "", F.conv(six, 16, 10).cast("bigint")), zero)
+
+    def character(n: Column) -> Column:
+        beyond = F.when((n > 0x10FFFF) | n.between(0xD800, 0xDFFF), F.lit("\ufffd"))
+        own = F.decode(F.unhex(F.lpad(F.hex(n), 8, "0")), "UTF-32")
+        return F.coalesce(F.try_element_at(_table(json.dumps(_NUMBERS)), n.cast("string")), beyond, own)
+
+    def rest(piece: Column, found: Column) -> Column:
+        return F.substring(piece, F.length(found) + 1, F.length(piece))
+
+    def resolved(piece: Column) -> Column:
+        """A text that follows an ampersand, with the ampersand."""
+        numeric = F.regexp_extract(piece, "^#(?:[0-9]+|[xX][0-9a-fA-F]+);?", 0)
+        named, bare = F.regexp_extract(piece, r"^[^\t\n\f <&#;]{1,32};", 0), F.regexp_extract(piece, _BARE_NAMES, 0)
+        by_number = once(number(piece), lambda n: F.concat(character(n), rest(piece, numeric)))
+        by_name = F.concat(F.try_element_at(_table(_NAMED), named), rest(piece, named))
+        by_prefix = F.concat(F.try_element_at(_table(json.dumps(_BARE)), bare), rest(piece, bare))
+        return F.when(piece.startswith("#"), F.when(numeric != "", by_number).otherwise(F.concat(F.lit("&"), piece))).otherwise(F.coalesce(by_name, by_prefix, F.concat(F.lit("&"), piece)))
 
+    def read(t: Column) -> Column:
+        pieces = F.transform(F.split(t, "&", -1), lambda x, i: F.when(i == 0, x).otherwise(resolved(x)))
+        return F.when(F.contains(t, F.lit("&")), F.array_join(pieces, "")).otherwise(t)
 
-def unescape_basic(c: Column) -> Column:
-    """The five predefined entities and the no-break space, without leaving the JVM."""
-    for entity, char in (("&nbsp;", " "), ("&lt;", "<"), ("&gt;", ">"), ("&quot;", '"'), ("&#39;", "'"), ("&#x27;", "'"), ("&amp;", "&")):
-        c = F.replace(c, F.lit(entity), F.lit(char))
-    return c
+    return once(c, read)
 
 
 def repair_mojibake(c: Column) -> Column:
@@ -67,13 +100,21 @@ def squeeze(c: Column) -> Column:
     return F.trim(F.regexp_replace(c, SPACES, " "))
 
 
-def sanitize(c: Column, full_entities: bool = False) -> Column:
+def sanitize(c: Column) -> Column:
     """Entities, mojibake, tags, personal data, blanks; an empty text is null."""
-    c = unescape(c.cast("string")) if full_entities else unescape_basic(c.cast("string"))
-    c = F.regexp_replace(repair_mojibake(c), "<[^>]+>", " ")
+    c = F.regexp_replace(repair_mojibake(unescape(c.cast("string"))), "<[^>]+>", " ")
     return filled(squeeze(redact(squeeze(c))))
 
 
+def each(df: DataFrame, columns: dict[str, Column], body) -> DataFrame:
+    """df with these columns passed through body: one expression over their array, so that the plan does not grow with their number."""
+    return df.withColumn("_texts", F.transform(F.array(*(c.cast("string") for c in columns.values())), body)).withColumns({c: F.get("_texts", F.lit(i)) for i, c in enumerate(columns)}).drop("_texts")
+
+
+def sanitized(df: DataFrame, columns: list[str]) -> DataFrame:
+    return each(df, {c: F.col(c) for c in columns}, sanitize)
+
+
 def known(c: Column) -> Column:
     """A sanitized text, null if it spells a missing value."""
     return once(c, lambda x: F.when(~F.lower(F.trim(x)).isin("", *P.NULLS), x))
@@ -84,7 +125,8 @@ def clean(c: Column) -> Column:
 
 
 def without_accents(c: Column) -> Column:
-    return F.translate(c, _ACCENTED, _PLAIN)
+    """Accents and combining marks gone, single compatibility forms resolved; ligatures and fractions stay as they are."""
+    return F.regexp_replace(F.translate(c, _ACCENTED, _PLAIN), r"\p{M}+", "")
 
 
 def key(c: Column) -> Column:

@@ -27,15 +27,10 @@ def conform(df: DataFrame) -> DataFrame:
     return df.select(*(column(c).cast("string").alias(c) for c in schemas.RAW_COLUMNS), *kept)
 
 
-def sanitize(df: DataFrame, site: url.Site = url.SITE, full_entities: bool = False) -> DataFrame:
+def sanitize(df: DataFrame, site: url.Site = url.SITE) -> DataFrame:
     """The raw contract, sanitized: address in normal form, places that look like street addresses null."""
-    def column(c: str) -> Column:
-        if c == "listing_url":
-            return url.normalize(F.col(c), site)
-        out = text.sanitize(F.col(c), full_entities)
-        return location.no_address(out) if c in ("city_raw", "district_raw") else out
-
-    return df.withColumns({c: column(c) for c in schemas.RAW_COLUMNS})
+    df = text.sanitized(df, [c for c in schemas.RAW_COLUMNS if c != "listing_url"])
+    return df.withColumns({"listing_url": url.normalize(F.col("listing_url"), site)} | {c: location.no_address(F.col(c)) for c in ("city_raw", "district_raw")})
 
 
 def assert_contract(df: DataFrame, allowed) -> None:
@@ -57,8 +52,14 @@ def keep_first(df: DataFrame, by: str = "listing_url", order: str = "ordinal") -
 
 
 def keep_last(df: DataFrame, by: str = "listing_url", order: str = "ordinal") -> DataFrame:
-    """The last row of each key in order, as row-by-row upserts leave it."""
-    return df.withColumn("_n", F.row_number().over(W.Window.partitionBy(by).orderBy(F.col(order).desc()))).where("_n = 1").drop("_n")
+    """The last row of each key in order, as row-by-row upserts leave it; rows without a key all stay."""
+    alone = F.when(F.col(by).isNull(), F.col(order))
+    return filter_above(df.withColumn("_n", F.row_number().over(W.Window.partitionBy(by, alone).orderBy(F.col(order).desc()))), F.col("_n") == 1).drop("_n")
+
+
+def utc_time(c: Column) -> Column:
+    """A time with or without an offset; without one it is UTC, whatever the session's time zone."""
+    return text.once(F.trim(c), lambda t: F.try_to_timestamp(F.when(t.rlike("(?:Z|[+-][0-9]{2}:?[0-9]{2})$") & t.rlike("[T ][0-9]"), F.regexp_replace(t, "Z$", "+00:00")).otherwise(F.concat(t, F.when(t.rlike("[T ][0-9]"), "+00:00").otherwise("T00:00:00+00:00")))))
 
 
 def _between(c: str, bounds: tuple) -> Column:
@@ -67,8 +68,7 @@ def _between(c: str, bounds: tuple) -> Column:
 
 def typed(raw: DataFrame, current_year: int, strict_label: bool = False) -> DataFrame:
     """All columns of core and features, and reject_reason (null: accepted), for sanitized raw rows. One row in, one row out, in steps so that each text is parsed once."""
-    k = {c: text.known(F.col(c)) for c in schemas.RAW_COLUMNS if c != "listing_url"}
-    df = raw.withColumns({f"_{c}": v for c, v in k.items()})
+    df = text.each(raw, {f"_{c}": F.col(c) for c in schemas.RAW_COLUMNS if c != "listing_url"}, text.known)
     title, description, attributes = F.col("_listing_title_raw"), F.col("_description_raw"), F.col("_attributes_raw")
     texts = [title, description, attributes]
     combined = F.concat_ws(" ", *(F.coalesce(F.col(c), F.lit("")) for c in ("_listing_title_raw", "_description_raw", "_attributes_raw", "_price_raw", "_city_raw", "_district_raw", "_property_type_raw", "_listing_type_raw", "listing_url")))
@@ -85,7 +85,7 @@ def typed(raw: DataFrame, current_year: int, strict_label: bool = False) -> Data
     )
     df = df.withColumn("_offer", F.coalesce(F.nullif(numbers.any_decimal(F.col("_price_raw")), F.lit(0).cast("decimal(20,2)")), numbers.any_decimal(F.col("_combined"))))
     df = df.withColumn("listing_type", classify.listing_type(F.col("_listing_type_raw"), F.col("_combined"), F.col("_offer"), strict_label))
-    parsed_time = F.try_to_timestamp(F.regexp_replace("_scraped_at", "Z$", "+00:00"))
+    parsed_time = utc_time(F.col("_scraped_at"))
     land = F.col("property_type") == "land"
     rooms = numbers.bedrooms([F.col("_bedrooms_raw"), *texts])
     df = df.withColumns(
@@ -98,7 +98,7 @@ def typed(raw: DataFrame, current_year: int, strict_label: bool = False) -> Data
             "surface_m2": numbers.surface([*texts, F.col("_surface_raw")]),
             "bedrooms": F.when(land, F.lit(0)).when(F.col("property_type") == "studio", F.coalesce(rooms, F.lit(0))).otherwise(rooms),
             "bathrooms": F.when(land, F.lit(0)).otherwise(numbers.bathrooms([F.col("_bathrooms_raw"), *texts])),
-            "floor": F.when(land, F.lit(0)).otherwise(F.coalesce(*(numbers.floor(c) for c in (F.col("_floor_raw"), *texts)))),
+            "floor": F.when(land, F.lit(0)).otherwise(numbers.first_of([F.col("_floor_raw"), *texts], numbers.floor, "int")),
             "construction_year": numbers.year([F.col("_construction_year_raw"), *texts], current_year),
             "latitude": numbers.coordinate(F.col("_latitude_raw"), 90),
             "longitude": numbers.coordinate(F.col("_longitude_raw"), 180),
@@ -131,7 +131,7 @@ def typed(raw: DataFrame, current_year: int, strict_label: bool = False) -> Data
     )
     df = df.withColumn("reject_reason", reject_reason())
     # accepted rows pass the sanitizer once more: its wider list of address words empties some places
-    df = df.withColumns({c: location.no_address(text.sanitize(F.col(c))) for c in ("city", "district")})
+    df = text.sanitized(df, ["city", "district"]).withColumns({c: location.no_address(F.col(c)) for c in ("city", "district")})
     # filters of later steps stay above these projections, so that a condition on a parsed column does not parse again
     return filter_above(df.select(*schemas.CORE, *schemas.OPTIONAL_FEATURES, "reject_reason", *(["ordinal"] if "ordinal" in raw.columns else [])), F.lit(True))
 
@@ -161,10 +161,10 @@ def reject_reason() -> Column:
     return F.coalesce(*(F.when(rule, F.lit(name)) for name, rule in rules))
 
 
-def clean(raw: DataFrame, current_year: int, site: url.Site = url.SITE, strict_label: bool = False, full_entities: bool = False) -> DataFrame:
+def clean(raw: DataFrame, current_year: int, site: url.Site = url.SITE, strict_label: bool = False) -> DataFrame:
     """Typed rows with reject_reason, after dropping repeated addresses (the first copy counts, valid or not). raw needs an ordinal; without one, the order of reading counts."""
     raw = raw if "ordinal" in raw.columns else raw.withColumn("ordinal", F.monotonically_increasing_id())
-    return typed(keep_first(sanitize(conform(raw), site, full_entities)), current_year, strict_label)
+    return typed(keep_first(sanitize(conform(raw), site)), current_year, strict_label)
 
 
 def accepted(rows: DataFrame) -> DataFrame:

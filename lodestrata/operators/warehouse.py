@@ -8,14 +8,10 @@ from pyspark.sql import window as W
 
 from .. import schemas
 from ..functions import patterns as P
+from .tables import numbered
 
-
-def _numbered(new: DataFrame, order: list[str], name: str, start: int) -> DataFrame:
-    """new with ids from start + 1 on in the order of its natural key. The rows are a dimension's: few, and read once; ids come from ranks within ranges, so no task holds them all."""
-    ranged = new.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).withColumn("_n", F.row_number().over(W.Window.partitionBy("_p").orderBy(*order)))
-    before = ranged.groupBy("_p").agg(F.count("*").alias("_c"))
-    before = before.withColumn("_before", F.coalesce(F.sum("_c").over(W.Window.orderBy("_p").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")  # one row a partition
-    return ranged.join(before, "_p").select((F.lit(start) + F.col("_before") + F.col("_n")).cast("long").alias(name), *new.columns)
+#: Width of the bins in which a median is looked for.
+BIN = 100
 
 
 def _highest(dim: DataFrame | None, name: str) -> int:
@@ -38,7 +34,7 @@ def add_times(core: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     new = time_rows(core)
     if dim is not None:
         new = new.join(dim.select("date"), "date", "left_anti")
-    added = _numbered(new, ["date"], "time_id", _highest(dim, "time_id"))
+    added = numbered(new, "time_id", _highest(dim, "time_id"), ["date"])
     return added if dim is None else dim.unionByName(added)
 
 
@@ -48,16 +44,16 @@ def add_locations(core: DataFrame, dim: DataFrame | None = None) -> DataFrame:
     if dim is not None:
         old = dim.select(F.col("city").alias("_c"), F.col("district").alias("_d"))
         new = new.join(old, F.col("city").eqNullSafe(F.col("_c")) & F.col("district").eqNullSafe(F.col("_d")), "left_anti")
-    added = _numbered(new, ["city", "district"], "location_id", _highest(dim, "location_id"))
+    added = numbered(new, "location_id", _highest(dim, "location_id"), ["city", "district"])
     return added if dim is None else dim.unionByName(added)
 
 
-def facts(core: DataFrame, features: DataFrame, times: DataFrame, locations: DataFrame) -> DataFrame:
-    """One row per listing with its keys; features are looked up by address alone, whatever their batch."""
-    f = features.select("listing_url", "surface_m2", "price_per_m2")
+def facts(core: DataFrame, features: DataFrame | None, times: DataFrame, locations: DataFrame) -> DataFrame:
+    """One row per listing with its keys; features are looked up by address alone, whatever their batch. features None: core is whole rows, which have them."""
     t = times.select("time_id", F.col("date").alias("_date"))
     p = locations.select("location_id", F.col("city").alias("_c"), F.col("district").alias("_d"))
-    joined = core.join(f, "listing_url", "left").join(t, F.to_date("scraped_at") == F.col("_date"))
+    joined = core if features is None else core.join(features.select("listing_url", "surface_m2", "price_per_m2"), "listing_url", "left")
+    joined = joined.join(t, F.to_date("scraped_at") == F.col("_date"))
     joined = joined.join(p, F.col("city").eqNullSafe(F.col("_c")) & F.col("district").eqNullSafe(F.col("_d")))
     return joined.select(*schemas.FACT_COLUMNS)
 
@@ -71,17 +67,38 @@ def is_candidate() -> Column:
     return out
 
 
-def sales(core: DataFrame, features: DataFrame) -> DataFrame:
-    """Sale listings with their features, those that models may learn from."""
-    return core.join(features.drop("batch_id"), "listing_url").where(is_candidate())
+def sales(core: DataFrame, features: DataFrame | None = None) -> DataFrame:
+    """Sale listings with their features, those that models may learn from. features None: core is whole rows, which have them."""
+    return (core if features is None else core.join(features.drop("batch_id"), "listing_url")).where(is_candidate())
+
+
+def medians(rows: DataFrame, by: list[str], value: str, name: str) -> DataFrame:
+    """The exact median of a decimal column for each group, and n, its number of values.
+
+    Equal values are counted where they lie. The counts are added up by coarse bins, of which a group has a bounded number; the bins that hold the middle
+    ranks are opened, and the middle values read from running sums within a bin. No task holds a group's values.
+    """
+    counts = rows.where(F.col(value).isNotNull()).groupBy(*by, F.col(value).alias("_v")).agg(F.count("*").alias("_c")).withColumn("_bin", F.floor(F.col("_v") / BIN))
+    group = W.Window.partitionBy(*by)
+    bins = counts.groupBy(*by, "_bin").agg(F.sum("_c").alias("_m"))
+    bins = bins.withColumns({"_before": F.sum("_m").over(group.orderBy("_bin")) - F.col("_m"), "n": F.sum("_m").over(group)})
+    low, high = F.floor((F.col("n") + 1) / 2), F.floor((F.col("n") + 2) / 2)  # the middle ranks, from one
+    holds = lambda rank, before, many: (rank > before) & (rank <= before + many)
+    bins = bins.where(holds(low, F.col("_before"), F.col("_m")) | holds(high, F.col("_before"), F.col("_m"))).drop("_m")
+    same = [F.col(f"c.{c}").eqNullSafe(F.col(f"b.{c}")) for c in (*by, "_bin")]
+    opened = counts.alias("c").join(bins.alias("b"), same).select("c.*", "_before", "n")
+    upto = F.sum("_c").over(W.Window.partitionBy(*by, "_bin").orderBy("_v"))
+    opened = opened.withColumn("_at", F.col("_before") + upto - F.col("_c"))
+    middle = lambda rank: F.max(F.when(holds(rank, F.col("_at"), F.col("_c")), F.col("_v").cast("double")))
+    return opened.groupBy(*by).agg(((middle(low) + middle(high)) / 2).alias(name), F.max("n").alias("n"))
 
 
 def market_index(sale: DataFrame, by: list[str], name: str) -> DataFrame:
     """The exact median price per square metre of each group."""
-    return sale.groupBy(*by).agg(F.percentile(F.col("price_per_m2").cast("double"), F.lit(0.5)).alias(name))
+    return medians(sale, by, "price_per_m2", name).drop("n")
 
 
-def ml_features(core: DataFrame, features: DataFrame) -> DataFrame:
+def ml_features(core: DataFrame, features: DataFrame | None = None) -> DataFrame:
     """The flat table for models with the medians of city and district.
 
     The medians are aggregates joined back, not windows: a large city's rows are partly aggregated where they lie, while a window would bring them to one task.

@@ -66,6 +66,40 @@ def raw_listings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.unionByName(again)
 
 
+def number_of(address: Column) -> Column:
+    """k of a listing's address."""
+    return F.regexp_extract(address, "bien_0*([0-9]+)", 1).cast("bigint")
+
+
+def _spoiled(df: DataFrame, changes: dict[str, tuple[int, object]]) -> DataFrame:
+    """df with a value put into the rows whose k is a multiple of a number."""
+    k = number_of(F.col("listing_url"))
+    kinds = dict(df.dtypes)
+    return df.withColumns({c: F.when(k % n == 0, F.lit(v).cast(kinds[c])).otherwise(F.col(c)) for c, (n, v) in changes.items()})
+
+
+def faulty_core(core: DataFrame) -> DataFrame:
+    """A clean core with faults for the checks to find: prices, places, kinds, titles with a phone number, short titles, repeated rows."""
+    df = _spoiled(core, {"price": (53, 200), "district": (59, None), "listing_type": (67, "lease"), "listing_title_clean": (61, "Appel 0612345678 svp")})
+    df = _spoiled(df, {"listing_title_clean": (43, "Court")})
+    return df.unionByName(df.where(number_of(F.col("listing_url")) % 71 == 0))
+
+
+def faulty_features(features: DataFrame) -> DataFrame:
+    """Clean features with counts out of range and prices per square metre that do not follow from price and surface."""
+    k = number_of(F.col("listing_url"))
+    return _spoiled(features, {"bedrooms": (83, 25)}).withColumn("price_per_m2", F.when(k % 79 == 0, F.col("price_per_m2") + 1).otherwise(F.col("price_per_m2")).cast("decimal(20,2)"))
+
+
+#: DuckDB, after ORIGINS: `bad` is `faulty_core`, `badf` is `faulty_features` beside the row's price.
+FAULTS = """
+, once as (
+  select * replace (case when k % 53 = 0 then 200 else price end as price, case when k % 59 <> 0 then district end as district, case when k % 67 = 0 then 'lease' else listing_type end as listing_type,
+                    case when k % 43 = 0 then 'Court' when k % 61 = 0 then 'Appel 0612345678 svp' else title end as title) from clean),
+bad as (select * from once union all select * from once where k % 71 = 0),
+badf as (select k, price, s, ppm2c, case when k % 83 = 0 then 25 else bedrooms end as bedrooms, bathrooms, floor, case when k % 79 = 0 then ppm2c + 100 else ppm2c end as shown from clean)
+"""
+
 #: DuckDB: `typed` has a row per address with reject_reason, `clean` the accepted rows.
 ORIGINS = """
 with q as (select l_orderkey as k, cast(sum(l_quantity) as bigint) as q from lineitem group by 1),

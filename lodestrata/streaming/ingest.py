@@ -8,7 +8,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from .. import schemas
 from ..operators import clean as cleaning
-from ..operators.tables import Tables, merge
+from ..operators.tables import Tables
 
 
 def raw_stream(spark: SparkSession, folder: str, files_per_trigger: int = 64) -> DataFrame:
@@ -22,12 +22,11 @@ def distinct_within(stream: DataFrame, delay: str = "1 day") -> DataFrame:
 
 
 def start(stream: DataFrame, tables: Tables, checkpoint: str, current_year: int, **trigger) -> StreamingQuery:
-    """Each micro-batch is cleaned and merged by address, so a batch that is run again changes nothing."""
+    """Each micro-batch is cleaned and merged by address into the parts that it touches, so a batch that is run again changes nothing."""
 
     def put(rows: DataFrame, epoch: int) -> None:
         core, features, _ = cleaning.clean_listings(rows, current_year)
         for name, df in (("clean_listings", core), ("clean_listing_features", features)):
-            known = tables.read(name) if tables.exists(name) else df.limit(0)
-            tables.write(name, merge(known, df))
+            tables.upsert(name, df)
 
     return stream.writeStream.foreachBatch(put).option("checkpointLocation", checkpoint).trigger(**(trigger or {"availableNow": True})).start()

@@ -34,6 +34,51 @@ def test_replay_is_idempotent_and_steals(spark, tmp_path):
     assert t.read("c").count() == 0
 
 
+def test_duplicates_of_a_batch_do_not_stay(spark, tmp_path):
+    t = tables.Tables(spark, str(tmp_path), {"c": schemas.CORE_SCHEMA})
+    rows = core(spark, ("u", "b", "1", "X", "Y", "sale"), ("v", "b", "5", "X", "Y", "sale"), ("u", "b", "2", "X", "Y", "sale")).coalesce(1)
+    assert t.replay("c", rows, "b") == 2
+    assert {(r.listing_url, r.price) for r in t.read("c").collect()} == {("u", Decimal("2.00")), ("v", Decimal("5.00"))}
+
+
+def test_ids_survive_and_features_go_with_their_listing(spark, tmp_path):
+    t = tables.listing_tables(spark, str(tmp_path))
+    t.replay("clean_listings", core(spark, ("u1", "a", "100", "X", "Y", "sale"), ("u2", "a", "200", "X", "Y", "sale")), "a")
+    features = spark.createDataFrame([(u, Decimal(50), *[None] * 16, "a") for u in ("u1", "u2")], schemas.FEATURE_SCHEMA)
+    t.replay("clean_listing_features", features, "a")
+    before = {r.listing_url: r.listing_id for r in t.read("clean_listings").collect()}
+    assert sorted(before.values()) == [1, 2]
+    t.replay("clean_listings", core(spark, ("u1", "b", "150", "X", "Y", "sale"), ("u3", "b", "1", "X", "Y", "sale")), "b")
+    after = {r.listing_url: r.listing_id for r in t.read("clean_listings").collect()}
+    assert after == before | {"u3": 3}
+    assert t.read("clean_listing_features").count() == 2
+    t.replay("clean_listings", core(spark), "a")
+    assert {r.listing_url for r in t.read("clean_listings").collect()} == {"u1", "u3"}
+    assert {r.listing_url for r in t.read("clean_listing_features").collect()} == {"u1"}
+
+
+def test_a_slower_writer_starts_again(spark, tmp_path):
+    t = tables.Tables(spark, str(tmp_path), {"c": schemas.CORE_SCHEMA})
+    t.replay("c", core(spark, ("u1", "a", "100", "X", "Y", "sale")), "a")
+    other = tables.Tables(spark, str(tmp_path), {"c": schemas.CORE_SCHEMA})
+    commit, lost = t._commit, []
+
+    def late(name, before, *rest):
+        if not lost:
+            lost.append(other.replay("c", core(spark, ("u2", "b", "200", "X", "Y", "sale")), "b"))
+        return commit(name, before, *rest)
+
+    t._commit = late
+    t.replay("c", core(spark, ("u3", "c", "300", "X", "Y", "sale")), "c")
+    assert lost == [1]
+    assert {r.listing_url for r in t.read("c").collect()} == {"u1", "u2", "u3"}
+    untouched = t.version("c", 0).parts["a"]
+    assert t.version("c").parts["a"] == untouched  # parts of other batches are not rewritten
+    assert t.vacuum("c") == 1  # what the slower writer wrote in vain
+    assert t.versions("c") == [2]
+    assert t.read("c").count() == 3
+
+
 def test_last_duplicate_wins(spark):
     rows = core(spark, ("u", "b", "1", "X", "Y", "sale"), ("u", "b", "2", "X", "Y", "sale")).withColumn("n", F.col("price").cast("int"))
     assert [r.price for r in tables.replay(core(spark).withColumn("n", F.lit(0)), rows, "b", order="n").collect()] == [Decimal("2.00")]
@@ -70,6 +115,36 @@ def test_checks_find_faults(spark):
     assert quality.rental_contamination(ml).first().bad_rows == 2
 
 
+def test_medians_are_exact(spark):
+    import random
+    import statistics
+
+    rng = random.Random(2)
+    rows = [(rng.choice(["x", "y", None]), Decimal(rng.choice([rng.randint(1, 99), rng.randint(1, 10**7)])) / 100) for _ in range(500)] + [("z", None), ("one", Decimal("7.25"))]
+    got = warehouse.medians(spark.createDataFrame(rows, "g string, v decimal(20,2)"), ["g"], "v", "m").collect()
+    expected = {g: [v for h, v in rows if h == g and v is not None] for g in ("x", "y", None, "one")}
+    assert {r.g: (round(r.m, 6), r.n) for r in got} == {g: (round(float(statistics.median(v)), 6), len(v)) for g, v in expected.items()}
+
+
+def test_whole_batch(spark, tmp_path):
+    import json
+
+    from lodestrata.plans import batch
+
+    row = {c: "" for c in schemas.RAW_COLUMNS} | {"listing_title_raw": "Appartement lumineux", "price_raw": "1 000 000 DH", "city_raw": "casa", "district_raw": "Maarif", "property_type_raw": "apartment", "surface_raw": "80 m2", "bedrooms_raw": "2 chambres", "bathrooms_raw": "1 sdb", "floor_raw": "2 etage", "listing_url": "https://www.listings.example/fr/a/appartements/x_12345678.htm", "scraped_at": "2026-04-28T12:00:00"}
+    other = row | {"listing_url": "https://www.listings.example/fr/a/appartements/y_22345678.htm", "price_raw": "3 000 DH / mois"}
+    path = tmp_path / "raw_batch_7.csv"
+    path.write_text("\n".join([",".join(row), *(",".join(r.values()) for r in (row, other, row | {"price_raw": ""} | {"listing_url": other["listing_url"] + "?a=b"}))]) + "\n", encoding="utf-8")
+    for _ in range(2):
+        out = batch.run_batch(spark, str(path), str(tmp_path / "run"), 2026, retries=0)
+    assert (out["batch_id"], out["total_staged_listings"], out["total_cleaned_listings"], out["total_ml_ready_rows"]) == ("batch_7", 2, 2, 1)
+    assert sorted(map(tuple, out["sale_vs_rent_distribution"])) == [("rent", 1), ("sale", 1)]
+    checkpoint = json.loads((tmp_path / "run/files/pipeline_checkpoint_batch_7.json").read_text())
+    assert [s["step"] for s in checkpoint["steps"]][-2:] == ["data_quality_checks", "final_validation"]
+    assert {s["status"] for s in checkpoint["steps"]} == {"succeeded"}
+    assert json.loads((tmp_path / "run/files/final_validation_batch_7.json").read_text())["total_cleaned_listings"] == 2
+
+
 def test_median_of_even_groups(spark):
     sale = spark.createDataFrame([("X", Decimal("10.00")), ("X", Decimal("20.01"))], "city string, price_per_m2 decimal(20,2)")
     assert warehouse.market_index(sale, ["city"], "m").first().m == 15.005
