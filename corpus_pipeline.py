@@ -6,6 +6,8 @@ but the last return the columns of the documents. The operators state what they
 
 from __future__ import annotations
 
+from uuid import uuid4
+
 from pyspark.sql import DataFrame, SparkSession
 
 from lodestrata.llm import common, line_templates, packing, pii, quality_rules, simhash
@@ -41,9 +43,11 @@ ORACLE_SQL = None  # packing and near-dedup can't be said in SQL; tests hold the
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The result of all stages. What a stage stages for itself is deleted as soon as its result is written."""
     docs = common.read_documents(spark, sf_dir)
-    for i, (_, stage) in enumerate(STAGES):
-        docs = stage(spark, docs, sf_dir)
-        if i < len(STAGES) - 1:
-            docs = common.stage(docs, f"pipeline{i}")
-    return docs
+    folder = f"{common.shared_dir(spark)}/pipeline-{uuid4().hex}"
+    for i, (_, stage) in enumerate(STAGES[:-1]):
+        with common.scope(spark):
+            stage(spark, docs, sf_dir).write.parquet(f"{folder}/{i}")
+        docs = spark.read.parquet(f"{folder}/{i}")
+    return STAGES[-1][1](spark, docs, sf_dir)
