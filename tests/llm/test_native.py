@@ -10,7 +10,7 @@ from collections import Counter, defaultdict
 
 from pyspark.sql import functions as F
 
-from lodestrata.llm import exact_dedup, quality_rules, sharding
+from lodestrata.llm import exact_dedup, quality_rules, references, sharding
 
 
 def test_sharding(edge, nothing, sample):
@@ -140,3 +140,28 @@ def test_rules_verdict(spark):
     assert kept[1] >= 0.99
     assert kept.get(0, 0) <= 0.05
     assert quality_rules.select(docs).columns == docs.columns
+
+
+def test_rules_common_words_alone(spark):
+    """With the other comparison switched off, the common words still keep good documents and reject bad ones."""
+    labels = spark.read.parquet("/root/testdata/sf0.01/labels.parquet")
+    docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
+    r = quality_rules.judge(docs, class_distance=1.0).join(labels, "doc_id").where("common_js is not null and not base_failed").groupBy("quality").agg(F.avg(F.col("kept").cast("int")).alias("kept")).collect()
+    kept = {x.quality: x.kept for x in r}
+    assert kept[1] >= 0.99
+    assert kept[0] <= 0.2
+
+
+def test_rules_reject_another_language(spark):
+    docs = quality_rules.select(spark.read.parquet("/root/testdata/sf0.01/documents.parquet")).where("size(split(text, ' ')) >= 100 and lang in ('de', 'en')").select("doc_id", "text", "lang")
+    other = docs.withColumn("lang", F.when(F.col("lang") == "de", "en").otherwise("de"))
+    assert other.count() >= 100
+    assert quality_rules.select(other).count() <= 0.02 * other.count()
+    nonsense = spark.createDataFrame([(i, " ".join(f"{c}{d}xou" for c in "abcdefghij" for d in "klmnopqrst"), lang) for i, lang in enumerate([*quality_rules.WORDS, None])], "doc_id long, text string, lang string")
+    assert not quality_rules.judge(nonsense, class_distance=1.0).where("kept or base_failed").count()
+
+
+def test_rules_bound_is_derived(spark, nothing):
+    read = lambda t: spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet")
+    assert references.bound(read("documents"), read("labels")) == quality_rules.COMMON_DISTANCE
+    assert references.bound(nothing, read("labels")) is None
