@@ -52,11 +52,15 @@ def replay(table: DataFrame, rows: DataFrame, batch_id: str, key: str = "listing
 
 
 def numbered(rows: DataFrame, name: str, start: int, order: list[str]) -> DataFrame:
-    """rows with name = start + 1, start + 2, ... in an order: ranks within ranges plus the ranges' first ranks, so no task holds them all."""
+    """rows with name = start + 1, start + 2, ... in an order: ranks within ranges plus the ranges' first ranks, so no task holds them all.
+
+    The ranges are written down once: made anew for each reader, they would be cut elsewhere (by other samples, and by adaptive execution, which joins small ranges by their bytes), and rows would lose their numbers or share them.
+    """
     ranged = rows.repartitionByRange(*order).withColumn("_p", F.spark_partition_id()).withColumn("_n", F.row_number().over(W.Window.partitionBy("_p").orderBy(*order)))
+    ranged = stage(ranged, "ranges")
     before = ranged.groupBy("_p").agg(F.count("*").alias("_c"))
     before = before.withColumn("_before", F.coalesce(F.sum("_c").over(W.Window.orderBy("_p").rowsBetween(W.Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")  # one row a partition
-    return ranged.join(before, "_p").select((F.lit(start) + F.col("_before") + F.col("_n")).cast("long").alias(name), *rows.columns)
+    return ranged.join(F.broadcast(before), "_p").select((F.lit(start) + F.col("_before") + F.col("_n")).cast("long").alias(name), *rows.columns)
 
 
 class Conflict(Exception):

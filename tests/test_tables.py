@@ -198,3 +198,21 @@ def test_latest(spark, tmp_path):
 
     os.utime(tmp_path / "raw_a.csv", (2_000_000_000, 2_000_000_000))
     assert listings.latest(spark, str(tmp_path / "raw_*.csv")).endswith("raw_a.csv")
+
+
+def test_numbers_of_many_rows_are_whole_and_different(spark, tmp_path):
+    settings = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.minPartitionSize": "16k"}
+    before = {k: spark.conf.get(k) for k in settings}
+    try:
+        for k, v in settings.items():
+            spark.conf.set(k, v)
+        rows = spark.range(0, 60_000, 1, 8).select(F.sha2(F.col("id").cast("string"), 256).alias("u"), F.repeat(F.sha2((F.col("id") + 1).cast("string"), 256), 4).alias("text"))
+        tables.numbered(rows, "n", 5, ["u"]).write.parquet(str(tmp_path / "out"))  # all columns: a reader of few would have them pruned
+        out = spark.read.parquet(str(tmp_path / "out"))
+        found = out.agg(F.count("*"), F.count_distinct("n"), F.min("n"), F.max("n")).first()
+        assert tuple(found) == (60_000, 60_000, 6, 60_005)
+        in_order = out.selectExpr("n", "lag(u) over (order by n) < u as ok").where("not ok").count()
+        assert in_order == 0
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
