@@ -204,3 +204,9 @@ def test_page_classes_read_whole_texts(spark, tmp_path):
             assert tuple(got[i].place) == place(t), t
     assert tuple(got[6].place) == ("Casablanca", "Maarif")
     assert [got[i].x for i in range(len(texts))] == [33.5] + [None] * (len(texts) - 1)
+
+
+def test_the_number_of_an_address_is_no_price(spark):
+    for number in ("00000409", "00100409", "12345678"):
+        row = cleaned(spark, price_raw="Prix non spécifié", listing_url=f"/fr/casablanca/immobilier/bien_{number}.htm")
+        assert (row.listing_type, row.price, row.reject_reason) == ("rent", None, "invalid_price")
