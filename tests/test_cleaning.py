@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from lodestrata import schemas
 from lodestrata.functions import classify, location, numbers, text, titles, url
+from lodestrata.functions import patterns as P
 from lodestrata.operators import clean as cleaning
 from lodestrata.operators import quality, report
 from lodestrata.plans import catalog
@@ -210,3 +211,34 @@ def test_the_number_of_an_address_is_no_price(spark):
     for number in ("00000409", "00100409", "12345678"):
         row = cleaned(spark, price_raw="Prix non spécifié", listing_url=f"/fr/casablanca/immobilier/bien_{number}.htm")
         assert (row.listing_type, row.price, row.reject_reason) == ("rent", None, "invalid_price")
+
+
+@pytest.mark.parametrize(
+    ("pattern", "stems", "phrases"),
+    [
+        (P.RENT, P.RENT_STEMS, ("location", "louer", "à  louer", "A LOUER", "loyer", "par mois", "mensuel", "mois", "jour", "journée", "journee", "nuit", "nuitée", "vacance", "Vacances", "estival", "DH/mois", "moiſ")),
+        (P.SALE, P.SALE_STEMS, ("vente", "vendre", "vend", "à vendre", "titre foncier", "TITRÉ", "titre", "tıtre")),
+        (P.LUXURY, P.LUXURY_STEMS, ("luxe", "haut  standing", "prestige", "premium", "piscine", "golf", "vue mer", "front mer", "marina", "neuf", "Résidence fermée", "residence fermee", "piſcine")),
+    ],
+)
+def test_cheap_tests_let_every_match_through(spark, pattern, stems, phrases):
+    df = spark.createDataFrame([(f"un {p}",) for p in phrases], "t string")
+    out = df.select("t", text.maybe(text.low(F.col("t")), stems).alias("maybe"), F.col("t").rlike(pattern).alias("match")).collect()
+    assert [r.t for r in out if not (r.maybe and r.match)] == []
+
+
+def test_texts_that_need_no_sanitizing_are_left_alone(spark):
+    plain = ["Bien ensoleillé", "120 m²", "2 345 670 DH", "1995-06-01T12:00:00", "a\x01b", "33.57"]
+    busy = {" a": "a", "a ": "a", "a  b": "a b", "a\tb": "a b", "a b": "a b", "": None, "&amp;": "&", "CafÃ©": "Café", "<b>x": "x", "a@b.co": "[REDACTED_EMAIL]", "0612345678": "[REDACTED_PHONE]", "+212 6 12 34 56 78": "[REDACTED_PHONE]", "06.12.34.56.7": "[REDACTED_PHONE]"}
+    df = spark.createDataFrame([(t, t, "x") for t in [*plain, *busy]], "t string, u string, v string")
+    out = text.sanitized(df, ["u", "v"]).select("t", "u", "v", text.sanitize(F.col("t")).alias("alone"), text._needs_nothing(F.col("t")).alias("kept")).collect()
+    wanted = {t: t for t in plain} | busy
+    assert {r.t: (r.u, r.v, r.alone, r.kept) for r in out} == {t: (w, "x", w, t in plain) for t, w in wanted.items()}
+
+
+def test_counts_without_a_number_raise_no_errors(spark):
+    """try_cast of an empty text raises and catches an error for every row."""
+    seen = spark.createDataFrame([("3 etage",), ("12 m",)], "t string").select(numbers.floor(F.col("t")).alias("f"), numbers._whole(F.col("t"), P.BEDROOMS).alias("b"))
+    assert [tuple(r) for r in seen.collect()] == [(3, None), (None, None)]
+    plan = seen._jdf.queryExecution().optimizedPlan().toString()
+    assert "try_cast(regexp_extract" not in plan
